@@ -19,7 +19,7 @@ from .text import SPACE, RangeHash, chunks, covered, mix, row_sums, utf8, word_b
 #: Bytes of text that one suffix array takes at most, or one text if that is longer.
 CHUNK = (1 << 20) - 1
 #: A repeat counts from so many words; a text is rejected if repeats cover more than this share, or one repeat is longer than LONGEST words.
-LEAST, SHARE, LONGEST = 8, 0.3, 60
+LEAST, SHARE, LONGEST = 8, 0.25, 60
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
