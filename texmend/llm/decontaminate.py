@@ -153,7 +153,8 @@ def search(index: DataFrame, items: pd.DataFrame, window: int = WINDOW) -> DataF
     queries, names = _queries(items, window)
     spark = index.sparkSession
     terms = np.unique(np.concatenate([w.ravel() for w, _ in queries.values()])) if queries else np.zeros(0, np.int64)
-    wanted = spark.createDataFrame(pd.DataFrame({"term": terms}), "term long")
+    #: Written first, so that Spark knows its size and broadcasts it only if small.
+    wanted = stored(spark.createDataFrame(pd.DataFrame({"term": terms}), "term long"), "terms")
     picked = index.where("head").unionByName(index.where("NOT head").join(wanted, "term", "left_semi").select(index.columns))
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
