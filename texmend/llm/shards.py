@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .text import mix
-from .work import new_path, stored
+from .work import free_shuffles, new_path, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the word pattern of the vocabulary.
@@ -30,6 +30,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LENGTH, SHARD_ROWS = 512, 4096
 KEY = 0x1F3D5B79
 ROUNDS = 6
+#: Ranges of slots that are dealt out one after the other, each with its own shuffle, so that little of the data lies in shuffle files at a time.
+PASSES = 4
 SEPARATOR = "\r\n\r\n"
 NULL_ID = -(1 << 63)
 
@@ -106,10 +108,14 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, lengt
     total = files.agg(F.sum("rows")).first()[0] or 0
     placed = table.join(files.select("file", before.alias("before")), "file").select((F.col("before") + F.col("row")).alias("ordinal"), "doc_id", "seq", "n", "ids")
 
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            slot = permute(b.column("ordinal").to_numpy(), total, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *(b.column(c) for c in ("doc_id", "seq", "n", "ids"))], names=["slot", "doc_id", "seq", "n", "ids"])
+    def slots(start: int, stop: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                slot = permute(b.column("ordinal").to_numpy(), total, key)
+                own = pa.array((slot >= start) & (slot < stop))
+                yield pa.RecordBatch.from_arrays([pa.array(slot), *(b.column(c) for c in ("doc_id", "seq", "n", "ids"))], names=["slot", "doc_id", "seq", "n", "ids"]).filter(own)
+
+        return run
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fill = np.array([end], f"<u{width}").tobytes() * length
@@ -119,11 +125,15 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, lengt
             rows = [(x + fill[len(x) :]) + i.tobytes() + s.tobytes() + c.tobytes() for x, i, s, c in zip(b.column("ids").to_pylist(), ids, seq, n, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
 
+    #: Partition k of a pass holds shard first + k, so folders and the sink's file names number the shards.
     shards = max(1, -(-total // shard_rows))
-    dealt = placed.mapInArrow(slots, "slot long, doc_id long, seq int, n int, ids binary").withColumn("shard", F.floor(F.col("slot") / shard_rows).cast("int"))
-    dealt = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
-    #: Partition k holds shard k, so the sink's file names number the shards.
-    dealt.select("doc_id", "seq", "n", "ids").mapInArrow(records, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", SEPARATOR).text(path)
+    each = -(-shards // PASSES)
+    for first in range(0, shards, each):
+        last = min(shards, first + each)
+        dealt = placed.mapInArrow(slots(first * shard_rows, last * shard_rows), "slot long, doc_id long, seq int, n int, ids binary")
+        dealt = dealt.repartitionById(last - first, (F.floor(F.col("slot") / shard_rows) - first).cast("int")).sortWithinPartitions("slot")
+        dealt.select("doc_id", "seq", "n", "ids").mapInArrow(records, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", SEPARATOR).text(f"{path}/first={first}")
+        free_shuffles(spark)
     return total
 
 
@@ -154,7 +164,8 @@ def read_shards(spark: SparkSession, path: str, start: int = 0, stop: int | None
                 tokens = pa.array([r[: width * k].tobytes() for r, k in zip(rows, n, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(number + shard * shard_rows), pa.array(np.full(len(rows), shard, np.int32)), pa.array(number * step), pa.array(ids, mask=ids == NULL_ID), pa.array(seq.copy()), pa.array(n.copy()), tokens], names=["slot", "shard", "offset", "doc_id", "seq", "n", "ids"])
 
-    shard = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
+    number = lambda pattern: F.regexp_extract("_metadata.file_path", pattern, 1).cast("int")
+    shard = number(r"/first=(\d+)/") + number(r"/part-(\d+)[^/]*$")
     files = spark.read.format("binaryFile").load(path).select(shard.alias("shard"), "content").where(shard >= start // shard_rows)
     out = files if stop is None else files.where(F.col("shard") <= (stop - 1) // shard_rows)
     out = out.select("shard", "content").mapInArrow(cut, "slot long, shard int, offset long, doc_id long, seq int, n int, ids binary").where(F.col("slot") >= start)
