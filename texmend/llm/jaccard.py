@@ -4,7 +4,8 @@ A text's set is its distinct word shingles. Sets of like size share a band; in a
 chunks, and a chunk's sketch is the XOR of one bit a shingle among 2**16. The bits in which two sketches differ are at
 most the shingles in which the sets differ, so two linked sets differ in at most D chunks, and with M > D some chunk
 is equal: sketches are joined on (band, chunk, sketch). A sketch is kept as the XOR of 64-bit codes of its bits.
-Candidates are verified on the whole sets.
+A short sketch of the whole set, 256 bits, bounds the difference of a candidate pair once more; what passes is verified
+on the whole sets.
 
 Equal sets become one class at the start. In a bucket every class is held against the smallest one only; what is left
 in different components afterwards is held against the bucket's members outside its own component, so no link between
@@ -109,12 +110,35 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("twin", F.xxhash64("text"))
 
 
+SHORT = ("s0", "s1", "s2", "s3")
+
+
+def short_sketches(every: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """The parity sketch of each whole set over 256 bits, as four words."""
+    bit = mix(every ^ np.uint64(0xA5A5A5A5))
+    word, flag = bit & np.uint64(3), np.uint64(1) << (bit >> np.uint64(2) & np.uint64(63))
+    out, some = [], np.diff(offsets) > 0
+    for k in range(len(SHORT)):
+        sketch = np.zeros(len(some), np.uint64)
+        if some.any():
+            sketch[some] = np.bitwise_xor.reduceat(np.where(word == k, flag, 0).astype(np.uint64), offsets[:-1][some])
+        out.append(sketch.view(np.int64))
+    return out
+
+
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and short sketches of two sets allow a link: sketches differ in no more bits than linked sets in shingles."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    bits = reduce(Column.__add__, [F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in SHORT])
+    return (bits * (100 + percent) <= (n + m) * (100 - percent)) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+
+
 def _sizes(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, at in chunks(batch, "text", CHUNK):
                 every, offsets = shingle_sets(data, at, k)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("twin"), pa.array(np.diff(offsets)), pa.array(set_codes(every, offsets))], names=["doc_id", "twin", "n", "code"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("twin"), pa.array(np.diff(offsets)), pa.array(set_codes(every, offsets)), *map(pa.array, short_sketches(every, offsets))], names=["doc_id", "twin", "n", "code", *SHORT])
 
     return run
 
@@ -189,13 +213,14 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     if no other id is in it (component_id null).
     """
     texts = _texts(docs)
-    sized = stored(texts.mapInArrow(_sizes(words), "doc_id long, twin long, n long, code long"), "sizes")
+    sized = stored(texts.mapInArrow(_sizes(words), "doc_id long, twin long, n long, code long, s0 long, s1 long, s2 long, s3 long"), "sizes")
     lowest: Column = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "twin"))
-    classes = stored(sized.where("n > 0").groupBy("code").agg(lowest.alias("low")).select("code", F.col("low.doc_id").alias("doc_id"), F.col("low.twin").alias("twin")), "classes")
+    classes = stored(sized.where("n > 0").groupBy("code").agg(lowest.alias("low"), *(F.min(c).alias(c) for c in ("n", *SHORT))).select("code", F.col("low.doc_id").alias("doc_id"), F.col("low.twin").alias("twin"), "n", *SHORT), "classes")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = texts.where(F.length("text") > 0).select("text").mapInArrow(_keys(words, percent), "key long, code long")
     buckets = stored(rows.repartition(max(n, 1), "key").sortWithinPartitions("key", "code").mapInArrow(_buckets, "key long, a long, b long"), "buckets")
-    star = stored(buckets.select("a", "b").distinct(), "pairs")
+    short = lambda c: classes.select(F.col("code").alias(c), *(F.col(x).alias(c + x) for x in ("n", *SHORT)))
+    star = stored(buckets.select("a", "b").distinct().join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b"), "pairs")
     links = stored(links_of(star, texts, classes, words, percent), "links")
     of = components(links)
     #: Members that the smallest of their bucket didn't reach, and all others of that bucket.
@@ -203,7 +228,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     left = stored(label(label(buckets, "a"), "b").where("a_of <> b_of"), "left")
     if left.limit(1).count():
         every = label(buckets.select("key", "b").join(left.select("key").distinct(), "key", "left_semi").withColumnRenamed("b", "c"), "c")
-        crossed = left.select("key", "b", "b_of").join(every, "key").where("b_of <> c_of").select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
+        own = left.select("key", "b", "b_of").join(short("b"), "b")
+        crossed = own.join(every.join(short("c"), "c"), (own["key"] == every["key"]) & (F.col("b_of") != F.col("c_of")) & _near("b", "c", percent)).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
         crossed = stored(crossed.join(star, ["a", "b"], "left_anti"), "crossed")
         if crossed.limit(1).count():
             more = stored(links_of(crossed, texts, classes, words, percent), "more")
