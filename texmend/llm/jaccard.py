@@ -30,6 +30,8 @@ WORDS, PERCENT = 4, 85
 CHUNK = (1 << 20) - 1
 #: Members of one representative that one task verifies in a row.
 GROUP = 1000
+#: Rounds of further stars.
+STARS = 4
 #: Chunks beyond D + 1, a fixed number and a share of D. A set with no more empty sketches than that leaves its empty ones
 #: out: of the equal ones at least one isn't empty.
 SLACK, SLACK_SHARE = 3, 0.02
@@ -223,9 +225,21 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     star = stored(buckets.select("a", "b").distinct().join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b"), "pairs")
     links = stored(links_of(star, texts, classes, words, percent), "links")
     of = components(links)
-    #: Members that the smallest of their bucket didn't reach, and all others of that bucket.
+    #: Members that their bucket's star didn't reach. For a few rounds the smallest of them is the centre of a new star, so
+    #: that groups of near copies grow together; a round's pairs are no more than its members.
     label = lambda df, c: df.join(of.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of")), c, "left").withColumn(f"{c}_of", F.coalesce(f"{c}_of", c))
     left = stored(label(label(buckets, "a"), "b").where("a_of <> b_of"), "left")
+    for _ in range(STARS):
+        centres = left.groupBy("key").agg(F.min(F.struct("b", "b_of")).alias("low")).select("key", F.col("low.b").alias("a"), F.col("low.b_of").alias("centre_of"))
+        again = left.select("key", "b", "b_of").join(centres, "key").where("centre_of <> b_of").select("a", "b").distinct()
+        again = stored(again.join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b").join(star, ["a", "b"], "left_anti"), "pairs")
+        if not again.limit(1).count():
+            break
+        star = stored(star.unionByName(again), "pairs")
+        links = stored(links.unionByName(links_of(again, texts, classes, words, percent)), "links")
+        of = components(links)
+        left = stored(label(label(left.select("key", "a", "b"), "a"), "b").where("a_of <> b_of"), "left")
+    #: What still lies apart is held against all others of its bucket outside its component.
     if left.limit(1).count():
         every = label(buckets.select("key", "b").join(left.select("key").distinct(), "key", "left_semi").withColumnRenamed("b", "c"), "c")
         own = left.select("key", "b", "b_of").join(short("b"), "b")
