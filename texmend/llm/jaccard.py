@@ -7,9 +7,10 @@ is equal: sketches are joined on (band, chunk, sketch). A sketch is kept as the
 A short sketch of the whole set, 256 bits, bounds the difference of a candidate pair once more; what passes is verified
 on the whole sets.
 
-Equal sets become one class at the start. In a bucket every class is held against the smallest one only; what is left
-in different components afterwards is held against the bucket's members outside its own component, so no link between
-components is lost and a group of near copies doesn't become all its pairs.
+Equal sets become one class at the start. In a bucket every class is held against the smallest one only, then, where a bucket
+still holds several components, against a few more members; what is left in different components afterwards is held
+against the bucket's members outside its own component, so no link between components is lost and a group of near
+copies doesn't become all its pairs. The last bit of keys and codes is that of the band, of a set's own one in its code.
 """
 
 from __future__ import annotations
@@ -57,14 +58,15 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, k: int = WORDS) -> tuple[np.n
     return every, np.searchsorted(row, np.arange(len(n) + 1))
 
 
-def set_codes(every: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One 64-bit code for each set, from two sums over its members and its size."""
+def set_codes(every: np.ndarray, offsets: np.ndarray, percent: int) -> np.ndarray:
+    """One 64-bit code for each set, from two sums over its members and its size; the last bit is that of its band."""
     sums = []
     for salt in (0, 0x5DEECE66D):
         total = np.zeros(len(every) + 1, np.uint64)
         np.cumsum(mix(every ^ np.uint64(salt)), out=total[1:])
         sums.append(total[offsets[1:]] - total[offsets[:-1]])
-    return mix(mix(sums[0]) + sums[1] + np.diff(offsets).astype(np.uint64)).view(np.int64)
+    n = np.diff(offsets)
+    return _marked(mix(mix(sums[0]) + sums[1] + n.astype(np.uint64)), _band(n, percent)).view(np.int64)
 
 
 def _band(n: np.ndarray, percent: int) -> np.ndarray:
@@ -72,6 +74,11 @@ def _band(n: np.ndarray, percent: int) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / np.log(100 / percent) + 1e-9).astype(np.int64)
 
 
+def _marked(codes: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """codes with the last bit of band as theirs."""
+    return codes & ~np.uint64(1) | band.astype(np.uint64) & np.uint64(1)
+
+
 def sketch_keys(every: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket keys of each set, in its band and the next one, and the set's number for each."""
     n = np.diff(offsets)
@@ -101,7 +108,7 @@ def sketch_keys(every: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[n
         empty = np.bincount(owner[~full], minlength=len(n))
         out = full | ((empty > slack) | (differ == 0))[owner]
         number = (np.arange(total) - first[owner]).astype(np.uint64)
-        key = mix(mix(number + (band[owner].astype(np.uint64) << np.uint64(32))) + sketch)
+        key = _marked(mix(mix(number + (band[owner].astype(np.uint64) << np.uint64(32))) + sketch), band[owner])
         keys.append(key[out])
         whose.append(owner[out])
     return np.concatenate(keys).view(np.int64), np.concatenate(whose)
@@ -135,12 +142,12 @@ def _near(a: str, b: str, percent: int) -> Column:
     return (bits * (100 + percent) <= (n + m) * (100 - percent)) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
 
 
-def _sizes(k: int):
+def _sizes(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, at in chunks(batch, "text", CHUNK):
                 every, offsets = shingle_sets(data, at, k)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("twin"), pa.array(np.diff(offsets)), pa.array(set_codes(every, offsets)), *map(pa.array, short_sketches(every, offsets))], names=["doc_id", "twin", "n", "code", *SHORT])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("twin"), pa.array(np.diff(offsets)), pa.array(set_codes(every, offsets, percent)), *map(pa.array, short_sketches(every, offsets))], names=["doc_id", "twin", "n", "code", *SHORT])
 
     return run
 
@@ -150,7 +157,7 @@ def _keys(k: int, percent: int):
         for batch in batches:
             for _, data, at in chunks(batch, "text", CHUNK):
                 every, offsets = shingle_sets(data, at, k)
-                codes = set_codes(every, offsets)
+                codes = set_codes(every, offsets, percent)
                 key, whose = sketch_keys(every, offsets, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(codes[whose])], names=["key", "code"])
 
@@ -215,7 +222,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     if no other id is in it (component_id null).
     """
     texts = _texts(docs)
-    sized = stored(texts.mapInArrow(_sizes(words), "doc_id long, twin long, n long, code long, s0 long, s1 long, s2 long, s3 long"), "sizes")
+    sized = stored(texts.mapInArrow(_sizes(words, percent), "doc_id long, twin long, n long, code long, s0 long, s1 long, s2 long, s3 long"), "sizes")
     lowest: Column = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "twin"))
     classes = stored(sized.where("n > 0").groupBy("code").agg(lowest.alias("low"), *(F.min(c).alias(c) for c in ("n", *SHORT))).select("code", F.col("low.doc_id").alias("doc_id"), F.col("low.twin").alias("twin"), "n", *SHORT), "classes")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -225,25 +232,35 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     star = stored(buckets.select("a", "b").distinct().join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b"), "pairs")
     links = stored(links_of(star, texts, classes, words, percent), "links")
     of = components(links)
-    #: Members that their bucket's star didn't reach. For a few rounds the smallest of them is the centre of a new star, so
-    #: that groups of near copies grow together; a round's pairs are no more than its members.
+    #: Buckets that still hold more than one component. For a few rounds another member, drawn by a hash of it and the round,
+    #: is the centre of a new star, so that groups of near copies grow together; a round's pairs are no more than the members.
     label = lambda df, c: df.join(of.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of")), c, "left").withColumn(f"{c}_of", F.coalesce(f"{c}_of", c))
-    left = stored(label(label(buckets, "a"), "b").where("a_of <> b_of"), "left")
-    for _ in range(STARS):
-        centres = left.groupBy("key").agg(F.min(F.struct("b", "b_of")).alias("low")).select("key", F.col("low.b").alias("a"), F.col("low.b_of").alias("centre_of"))
-        again = left.select("key", "b", "b_of").join(centres, "key").where("centre_of <> b_of").select("a", "b").distinct()
+
+    def split(rows: DataFrame) -> DataFrame:
+        rows = label(label(rows, "a"), "b")
+        return stored(rows.join(rows.where("a_of <> b_of").select("key").distinct(), "key", "left_semi"), "left")
+
+    left = split(buckets)
+    for k in range(STARS):
+        centres = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("b", F.lit(k)), "b", "b_of")).alias("low")).select("key", F.col("low.b").alias("centre"), F.col("low.b_of").alias("centre_of"))
+        again = left.select("key", "b", "b_of").join(centres, "key").where("centre_of <> b_of").select(F.least("centre", "b").alias("a"), F.greatest("centre", "b").alias("b")).distinct()
         again = stored(again.join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b").join(star, ["a", "b"], "left_anti"), "pairs")
         if not again.limit(1).count():
-            break
+            continue
         star = stored(star.unionByName(again), "pairs")
         links = stored(links.unionByName(links_of(again, texts, classes, words, percent)), "links")
         of = components(links)
-        left = stored(label(label(left.select("key", "a", "b"), "a"), "b").where("a_of <> b_of"), "left")
+        left = split(left.select("key", "a", "b"))
     #: What still lies apart is held against all others of its bucket outside its component.
-    if left.limit(1).count():
-        every = label(buckets.select("key", "b").join(left.select("key").distinct(), "key", "left_semi").withColumnRenamed("b", "c"), "c")
-        own = left.select("key", "b", "b_of").join(short("b"), "b")
-        crossed = own.join(every.join(short("c"), "c"), (own["key"] == every["key"]) & (F.col("b_of") != F.col("c_of")) & _near("b", "c", percent)).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
+    own = left.where("a_of <> b_of").select("key", "b", "b_of")
+    if own.limit(1).count():
+        every = left.select("key", F.col("b").alias("c"), F.col("b_of").alias("c_of"), (F.col("a_of") == F.col("b_of")).alias("home"))
+        #: Two sets of one band share a key of that band if they are linked; their keys of the next band would only repeat the pair.
+        upper = lambda c: F.col("key").bitwiseXOR(F.col(c)).bitwiseAND(F.lit(1)) == 1
+        own = own.withColumn("b_up", upper("b")).join(short("b"), "b")
+        every = every.withColumn("c_up", upper("c")).join(short("c"), "c")
+        once = (F.col("home") | (F.col("b") < F.col("c"))) & ~(F.col("b_up") & F.col("c_up"))
+        crossed = own.join(every, (own["key"] == every["key"]) & (F.col("b_of") != F.col("c_of")) & once & _near("b", "c", percent)).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
         crossed = stored(crossed.join(star, ["a", "b"], "left_anti"), "crossed")
         if crossed.limit(1).count():
             more = stored(links_of(crossed, texts, classes, words, percent), "more")
