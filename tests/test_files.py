@@ -6,7 +6,7 @@ import pytest
 
 from texmend.plans import reports
 from texmend.plans.engine import Engine
-from texmend.sources.files import file_stats, one_text, read_rows, write_telemetry
+from texmend.sources.files import file_stats, one_text, read_rows, write_report, write_telemetry
 from texmend.streaming.heal import counters, heal_stream
 
 
@@ -38,3 +38,16 @@ def test_stream(spark, tmp_path):
     query.awaitTermination()
     got = {(r.family, r.row_outcome, r["repair"]): r["count"] for r in spark.table("counters").collect()}
     assert got == {("unknown", "math", "repair_orphan_rac"): 1, ("unknown", "text", None): 1}
+
+
+def test_report(spark, tmp_path):
+    counts = spark.createDataFrame([("a", 2), ("b", 3), ("c", 2)], "repair string, n long")
+    write_report(spark.sql("SELECT 7 AS n_rows"), {"Repairs": counts}, str(tmp_path / "md"), 2)
+    text = "".join(f.read_text() for f in (tmp_path / "md").glob("part-*"))
+    assert text.split("\n")[:7] == ["# Report", "", "- n_rows: 7", "", "## Repairs", "", "- b: 3"] and "- a: 2" in text and "- c" not in text
+
+
+def test_full_match(spark):
+    row = "SELECT 'math' AS row_outcome, 'math' AS expected_outcome, array('A', 'D') AS buckets, array('D') AS expected_buckets, array('x') AS repairs_applied, "
+    sql = " UNION ALL ".join(row + f"{wanted} AS expected_repairs, {banned} AS expected_no_repairs, 't' AS prepared_text, {text} AS expected_prepared, {k} AS k" for k, (wanted, banned, text) in enumerate([("array('x')", "array('y')", "'t'"), ("array('y')", "NULL", "NULL"), ("NULL", "array('x')", "NULL"), ("NULL", "NULL", "'u'"), ("NULL", "NULL", "NULL")]))
+    assert [r.full_ok for r in reports.full_match(spark.sql(sql)).orderBy("k").collect()] == [True, False, False, False, True]

@@ -96,6 +96,16 @@ def confusion(df: DataFrame, expected: str, actual: str, values: list[str]) -> D
     return df.groupBy(F.col(expected).alias("expected")).pivot(actual, values).count().na.fill(0)
 
 
+def full_match(df: DataFrame) -> DataFrame:
+    """df with full_ok: outcome as expected, a bucket shared, all expected repairs made, none of the forbidden, and the exact text where one is expected."""
+    none = F.array().cast("array<string>")
+    wanted, banned, buckets = (F.coalesce(c, none) for c in ("expected_repairs", "expected_no_repairs", "expected_buckets"))
+    made = F.coalesce("repairs_applied", none)
+    ok = F.col("row_outcome").eqNullSafe(F.col("expected_outcome")) & ((F.size(buckets) == 0) | F.arrays_overlap(buckets, "buckets"))
+    ok &= (F.size(F.array_except(wanted, made)) == 0) & (F.size(F.array_intersect(banned, made)) == 0)
+    return df.withColumn("full_ok", ok & (F.col("expected_prepared").isNull() | F.col("prepared_text").eqNullSafe(F.col("expected_prepared"))))
+
+
 def paired(a: DataFrame, b: DataFrame, key: str = "row_no") -> DataFrame:
     """Rows of two files by their place: both carry the row number from ingest."""
     return a.join(b, key)

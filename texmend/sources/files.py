@@ -35,3 +35,14 @@ def write_telemetry(df: DataFrame, path: str) -> None:
     """One JSON object for each healed row, nulls kept."""
     part = F.transform("segments", lambda s: F.struct(s["kind"].alias("kind"), s["outcome"].alias("outcome"), F.round(s["score"], 3).alias("score"), s["repairs"].alias("repairs"), s["reasons"].alias("validation_reasons")))
     df.select("dataset_row_id", "category", "family", "ui_surface", "buckets", "had_math", "had_fallback", F.lit(None).cast("string").alias("pipeline_error"), part.alias("segments"), "prepared_text").write.option("ignoreNullFields", False).json(path)
+
+
+def write_report(totals: DataFrame, counts: dict[str, DataFrame], path: str, most: int = 20) -> None:
+    """A Markdown report of one row of totals and of counts (name, n), the `most` largest of each, as text under path."""
+    spark = totals.sparkSession
+    lines = ["# Report", "", *(f"- {k}: {v}" for k, v in totals.first().asDict().items())]
+    for title, df in counts.items():
+        name = next(c for c in df.columns if c != "n")
+        found = df.orderBy(F.desc("n"), name).limit(most).collect()
+        lines += ["", f"## {title}", "", *(f"- {r[name]}: {r['n']}" for r in found)]
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(path)
