@@ -14,8 +14,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones, that with the smallest doc_id."""
-    return jaccard.one_of_each(docs)
+    """One document of each group of those with five-word shingle similarity of at least 0.8, that with the smallest doc_id."""
+    return jaccard.one_of_each(docs, words=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
