@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -248,6 +249,36 @@ def test_lm_probabilities_sum_to_one_and_beat_frequencies():
     assert own > np.log(share / share.sum())[words[2:]].mean() + 0.3
 
 
+def test_lm_blocks_sum_to_one_and_tell_rare_words_apart():
+    rng = np.random.default_rng(6)
+    words = rng.integers(0, 40, 6000)
+    words[1::2] = (words[::2] + 7) % 40
+    share = np.append(np.bincount(words, minlength=40), [0, 0]) + 0.5
+    model = lm.LogBilinear(share, head=4)
+    for _ in range(60):
+        model.learn(words[2:], words[1:-1], words[:-2], rng)
+    every = np.arange(42)
+    probs = np.exp(model.log_probs(every, np.full(42, 5), np.full(42, 30)).astype(float))
+    assert abs(probs.sum() - 1) < 1e-4
+    assert probs[12] > 4 / 40
+
+
+def test_lm_knows_words_beyond_the_500_commonest(spark):
+    """Two texts of the same words beyond the 500 commonest, one in the order of the training texts: only its own vectors tell them apart."""
+    rng = random.Random(3)
+    w = [f"w{k}" for k in range(900)]
+    pairs = lambda n: " ".join(f"{w[k]} {w[(k + 450) % 900]}" for k in (rng.randrange(900) for _ in range(n)))
+    ids = [k for k in range(400) if zlib.crc32(str(k).encode()) % 5 != 1]
+    held = [k for k in range(400) if zlib.crc32(str(k).encode()) % 5 == 1][:2]
+    tail = list(range(450))
+    rng.shuffle(tail)
+    rows = [(k, pairs(250)) for k in ids] + [(held[0], " ".join(f"{w[k]} {w[k + 450]}" for k in tail)), (held[1], " ".join(f"{w[k]} {w[(k + 17) % 450 + 450]}" for k in tail))]
+    got = {r.doc_id: r for r in lm.scores(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    known, mixed = got[held[0]], got[held[1]]
+    assert abs(known.base_score - mixed.base_score) < 1e-6
+    assert known.score > mixed.score + 50
+
+
 def test_lm_of_empty_table(empty):
     assert lm.scores(empty).count() == 0
 

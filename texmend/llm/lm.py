@@ -1,14 +1,16 @@
 """Language-model scores: a log-bilinear model trained with noise-contrastive estimation.
 
 The model predicts a word from the two before it: the sum of their vectors, each scaled by its position's weights, times
-the word's vector, plus its bias. Words beyond the VOCABULARY commonest share one symbol and are told apart by their
-smoothed counts. Every task trains on the training texts that it reads, telling words from a shared sample of noise;
-the tasks' parameters are averaged by their tokens. The normalisers of all contexts come from batched matrix
-products, so token probabilities sum to one.
+the vector of the word's class, plus its bias, and likewise for the word in its class. All words with LEAST occurrences in
+the training texts have vectors of their own, so the model grows with the corpus; rarer words share one symbol and are told
+apart by their smoothed counts. Every task trains on the training texts that it reads, telling words from a sample of noise;
+a word's parameters are averaged by its tokens in each task. The normalisers over classes and over the words of a class come
+from batched matrix products, so token probabilities sum to one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +22,9 @@ from pyspark.sql import functions as F
 from .text import LOWER, RangeHash, chunks, word_bounds
 from .work import stored
 
-VOCABULARY, SIZE, NOISE, BATCH, RATE = 500, 16, 64, 4096, 0.1
+SIZE, NOISE, OWN_NOISE, BATCH, RATE = 16, 64, 8, 4096, 0.1
+#: Occurrences in the training texts that give a word vectors of its own, and words that are a class each.
+LEAST, HEAD = 20, 500
 #: Words whose counts go to every task, at most; the others are joined.
 COMMON = 400_000
 CHUNK = (1 << 20) - 1
@@ -73,123 +77,233 @@ class Symbols:
         return symbols, one, two, first
 
 
+def _scatter(p: np.ndarray, squares: np.ndarray, at: np.ndarray, grads: np.ndarray, rate: float) -> None:
+    """One Adagrad step on the rows `at` of p, whose gradients add up where rows repeat."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    g, own = np.add.reduceat(grads[order], first), at[first]
+    squares[own] += g * g
+    p[own] -= rate * g / np.sqrt(squares[own])
+
+
+def _log_sum(logits: np.ndarray) -> np.ndarray:
+    top = logits.max(1)
+    return top + np.log(np.exp(logits - top[:, None]).sum(1))
+
+
 class LogBilinear:
-    """Parameters: r and q (vectors as context and as target), c (weights of the two positions), b."""
+    """Parameters: r (vectors as context), q (as target in its class), p and b (vectors and biases of classes), c (weights of the two positions).
 
-    def __init__(self, share: np.ndarray, size: int = SIZE, seed: int = 5):
+    Symbols are words by falling frequency, then the other words' symbol and the end. The first `head` words and the last two
+    symbols are each a class; the words between lie in blocks of about the root of their number. A word's probability is its
+    class's times its own in the class, whose bias is the logarithm of its share.
+    """
+
+    def __init__(self, share: np.ndarray, size: int = SIZE, seed: int = 5, head: int = HEAD):
         rng = np.random.default_rng(seed)
         self.share = share / share.sum()
-        self.r, self.q = (rng.normal(0, 0.1, (len(share), size)).astype(np.float32) for _ in range(2))
+        n, k = len(share), len(share) - 2
+        self.head = min(head, k)
+        self.tail = k - self.head
+        self.block = max(1, math.isqrt(self.tail))
+        self.class_of = np.arange(n)
+        self.class_of[self.head : k] = self.head + 2 + np.arange(self.tail) // self.block
+        self.class_of[k:] = self.head, self.head + 1
+        self.class_share = np.bincount(self.class_of, self.share)
+        self.own_share = np.log(self.share[self.head : k] / self.class_share[self.class_of[self.head : k]]).astype(np.float32)
+        self.r, self.q, self.p = (rng.normal(0, 0.1, (m, size)).astype(np.float32) for m in (n, self.tail, len(self.class_share)))
         self.c = np.ones((2, size), np.float32)
-        self.b = np.log(self.share).astype(np.float32)
-        self.squares = [np.full_like(p, 1e-2) for p in self.params()]
+        self.b = np.log(self.class_share).astype(np.float32)
+        self.squares: list[np.ndarray] = []
 
-    def params(self) -> list[np.ndarray]:
-        return [self.r, self.q, self.c, self.b]
+    def dense(self) -> list[np.ndarray]:
+        return [self.p, self.c, self.b]
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.params()])
+        return np.concatenate([p.ravel() for p in self.dense()])
 
     def load(self, flat: np.ndarray) -> LogBilinear:
         at = 0
-        for p in self.params():
+        for p in self.dense():
             p[...] = flat[at : at + p.size].reshape(p.shape)
             at += p.size
         return self
 
+    def rows(self, symbols: np.ndarray) -> np.ndarray:
+        """The vectors of symbols as context and as target in their class, zeros where they are their class."""
+        out = np.zeros((len(symbols), 2 * self.r.shape[1]), np.float32)
+        out[:, : self.r.shape[1]] = self.r[symbols]
+        own = (symbols >= self.head) & (symbols < self.head + self.tail)
+        out[own, self.r.shape[1] :] = self.q[symbols[own] - self.head]
+        return out
+
+    def load_rows(self, symbols: np.ndarray, rows: np.ndarray) -> None:
+        self.r[symbols] = rows[:, : self.r.shape[1]]
+        own = (symbols >= self.head) & (symbols < self.head + self.tail)
+        self.q[symbols[own] - self.head] = rows[own, self.r.shape[1] :]
+
     def step(self, two: np.ndarray, one: np.ndarray, word: np.ndarray, weight: np.ndarray, rng: np.random.Generator, rate: float = RATE) -> None:
-        """One noise-contrastive step with Adagrad; the noise words, drawn by frequency, are shared by the batch."""
-        noise = rng.choice(len(self.share), NOISE, p=self.share)
+        """One noise-contrastive step with Adagrad. Noise classes, drawn by frequency, are shared by the batch; noise words are drawn for each word from its block."""
+        if not self.squares:
+            self.squares = [np.ones_like(self.r), np.ones_like(self.q), *(np.full_like(p, 1e-2) for p in self.dense())]
+        noise = rng.choice(len(self.class_share), NOISE, p=self.class_share)
+        kind = self.class_of[word]
         h = self.c[0] * self.r[one] + self.c[1] * self.r[two]
-        log_kn = np.log(NOISE * self.share).astype(np.float32)
+        log_kn = np.log(NOISE * self.class_share).astype(np.float32)
         sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        true = (h * self.q[word]).sum(1) + self.b[word] - log_kn[word]
-        false = h @ self.q[noise].T + self.b[noise] - log_kn[noise]
-        weight = (weight / weight.sum()).astype(np.float32)
+        true = (h * self.p[kind]).sum(1) + self.b[kind] - log_kn[kind]
+        false = h @ self.p[noise].T + self.b[noise] - log_kn[noise]
+        total = np.float32(weight.sum())
+        weight = weight.astype(np.float32)
         d_true = (sig(true) - 1) * weight
         d_false = sig(false) * weight[:, None]
-        d_h = d_true[:, None] * self.q[word] + d_false @ self.q[noise]
-        grads = [np.zeros_like(p) for p in self.params()]
-        np.add.at(grads[0], one, d_h * self.c[0])
-        np.add.at(grads[0], two, d_h * self.c[1])
-        np.add.at(grads[1], word, d_true[:, None] * h)
-        np.add.at(grads[1], noise, d_false.T @ h)
-        grads[2][0], grads[2][1] = (d_h * self.r[one]).sum(0), (d_h * self.r[two]).sum(0)
-        np.add.at(grads[3], word, d_true)
-        np.add.at(grads[3], noise, d_false.sum(0))
-        for p, g, s in zip(self.params(), grads, self.squares, strict=True):
+        d_h = d_true[:, None] * self.p[kind] + d_false @ self.p[noise]
+        grads = [np.zeros_like(p) for p in self.dense()]
+        np.add.at(grads[0], kind, d_true[:, None] * h)
+        np.add.at(grads[0], noise, d_false.T @ h)
+        np.add.at(grads[2], kind, d_true)
+        np.add.at(grads[2], noise, d_false.sum(0))
+        deep = np.flatnonzero(kind >= self.head + 2)
+        if len(deep):
+            first = (kind[deep] - self.head - 2) * self.block
+            size = np.minimum(self.block, self.tail - first)
+            drawn = first[:, None] + (rng.random((len(deep), OWN_NOISE)) * size[:, None]).astype(np.int64)
+            at = np.concatenate([(word[deep] - self.head)[:, None], drawn], axis=1)
+            q, own = self.q[at], h[deep]
+            d = sig(np.einsum("md,mkd->mk", own, q) + self.own_share[at] - np.log(OWN_NOISE / size)[:, None].astype(np.float32))
+            d[:, 0] -= 1
+            d *= weight[deep, None]
+            d_h[deep] += np.einsum("mk,mkd->md", d, q)
+            _scatter(self.q, self.squares[1], at.ravel(), (d[:, :, None] * own[:, None, :]).reshape(-1, own.shape[1]), rate)
+        grads[1][0], grads[1][1] = (d_h * self.r[one]).sum(0), (d_h * self.r[two]).sum(0)
+        _scatter(self.r, self.squares[0], np.append(one, two), np.concatenate([d_h * self.c[0], d_h * self.c[1]]), rate)
+        for p, g, s in zip(self.dense(), grads, self.squares[2:], strict=True):
+            g /= total
             s += g * g
             p -= rate * g / np.sqrt(s)
 
     def learn(self, symbols: np.ndarray, one: np.ndarray, two: np.ndarray, rng: np.random.Generator) -> None:
         """One pass over the distinct trigrams, weighted by their counts."""
         n = len(self.share)
-        keys, weight = np.unique((two * n + one) * n + symbols, return_counts=True)
+        context, which = np.unique(two * n + one, return_inverse=True)
+        keys, weight = np.unique(which * n + symbols, return_counts=True)
         order = rng.permutation(len(keys))
         for k in range(0, len(keys), BATCH):
             own = keys[order[k : k + BATCH]]
-            self.step(own // (n * n), own // n % n, own % n, weight[order[k : k + BATCH]], rng)
+            before = context[own // n]
+            self.step(before // n, before % n, own % n, weight[order[k : k + BATCH]], rng)
+
+    def class_normalisers(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """Natural log of the sum over all classes for each of the contexts."""
+        out = np.empty(len(two), np.float32)
+        for k in range(0, len(two), BATCH):
+            part = slice(k, k + BATCH)
+            out[part] = _log_sum((self.c[0] * self.r[one[part]] + self.c[1] * self.r[two[part]]) @ self.p.T + self.b)
+        return out
 
     def normalisers(self) -> np.ndarray:
-        """Natural log of the sum over all words for each context (two, one)."""
+        """class_normalisers() of all contexts (two, one) of a small model."""
         n = len(self.share)
-        out = np.empty((n, n), np.float32)
-        for two in range(n):
-            logits = (self.c[0] * self.r + self.c[1] * self.r[two]) @ self.q.T + self.b
-            top = logits.max(1)
-            out[two] = top + np.log(np.exp(logits - top[:, None]).sum(1))
-        return out
+        return self.class_normalisers(np.repeat(np.arange(n), n), np.tile(np.arange(n), n)).reshape(n, n)
 
-    def log_probs(self, symbols: np.ndarray, one: np.ndarray, two: np.ndarray, z: np.ndarray) -> np.ndarray:
-        """Natural log probabilities."""
+    def log_probs(self, symbols: np.ndarray, one: np.ndarray, two: np.ndarray, z: np.ndarray | None = None) -> np.ndarray:
+        """Natural log probabilities; z: normalisers(), else those of the contexts at hand are computed."""
+        n = len(self.share)
+        kind = self.class_of[symbols]
         h = self.c[0] * self.r[one] + self.c[1] * self.r[two]
-        return np.einsum("ij,ij->i", h, self.q[symbols]) + self.b[symbols] - z[two, one]
+        if z is None:
+            context, which = np.unique(two * n + one, return_inverse=True)
+            over = self.class_normalisers(context // n, context % n)[which]
+        else:
+            over = z[two, one]
+        out = np.einsum("ij,ij->i", h, self.p[kind]) + self.b[kind] - over
+        deep = np.flatnonzero(kind >= self.head + 2)
+        deep = deep[np.argsort(kind[deep], kind="stable")]
+        cuts = np.flatnonzero(np.diff(kind[deep])) + 1
+        for rows in np.split(deep, cuts) if len(deep) else ():
+            first = (kind[rows[0]] - self.head - 2) * self.block
+            block = slice(first, min(first + self.block, self.tail))
+            for k in range(0, len(rows), BATCH):
+                some = rows[k : k + BATCH]
+                logits = h[some] @ self.q[block].T + self.own_share[block]
+                out[some] += logits[np.arange(len(some)), symbols[some] - self.head - first] - _log_sum(logits)
+        return out
+
+
+TRAINED_DDL = "part int, symbol int, weight double, params binary"
+
+
+def _trained(part: int, symbols: np.ndarray, weight: np.ndarray, params: np.ndarray) -> pa.RecordBatch:
+    values = [row.tobytes() for row in params]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(symbols), part, np.int32)), pa.array(symbols.astype(np.int32)), pa.array(weight.astype(float)), pa.array(values, pa.binary())], names=["part", "symbol", "weight", "params"])
 
 
 def _train(start: LogBilinear, symbols_of: Symbols):
+    """A row with symbol -1 for what all words share, and one for each symbol that the task read, weighted by its tokens."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        rng, model, tokens = np.random.default_rng(part), start, 0
+        rng, model, seen = np.random.default_rng(part), start, np.zeros(len(start.share), np.int64)
         for batch in batches:
             for _, data, at in chunks(batch, "text", CHUNK):
                 symbols, one, two, _ = symbols_of.trigrams(*word_codes(data, at))
                 model.learn(symbols, one, two, rng)
-                tokens += len(symbols)
-        if tokens:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([float(tokens)]), pa.array([model.flat().tobytes()], pa.binary())], names=["part", "tokens", "params"])
+                seen += np.bincount(symbols, minlength=len(seen))
+        if seen.any():
+            yield _trained(part, np.array([-1]), seen.sum(keepdims=True), model.flat()[None])
+            read = np.flatnonzero(seen)
+            for k in range(0, len(read), 10_000):
+                some = read[k : k + 10_000]
+                yield _trained(part, some, seen[some], model.rows(some))
 
     return run
 
 
 def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, weight = None, 0.0
+    """The weighted means of each symbol's params and its weight."""
+    symbols, weight, total = np.zeros(0, np.int64), np.zeros(0), None
     for batch in batches:
-        for tokens, params in zip(batch.column("tokens").to_pylist(), batch.column("params").to_pylist(), strict=True):
-            own = np.frombuffer(params, np.float32) * np.float64(tokens)
-            total, weight = own if total is None else total + own, weight + tokens
-    if weight:
-        yield pa.RecordBatch.from_arrays([pa.array([weight]), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())], names=["tokens", "params"])
+        if not batch.num_rows:
+            continue
+        w = batch.column("weight").to_numpy()
+        own = np.frombuffer(b"".join(batch.column("params").to_pylist()), np.float32).reshape(len(w), -1) * w[:, None]
+        every = np.append(symbols, batch.column("symbol").to_numpy())
+        order = np.argsort(every, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(every[order]) != 0))
+        symbols = every[order][first]
+        weight = np.add.reduceat(np.append(weight, w)[order], first)
+        total = np.add.reduceat((own if total is None else np.concatenate([total, own]))[order], first, axis=0)
+    if len(symbols):
+        yield _trained(0, symbols, weight, (total / weight[:, None]).astype(np.float32))
 
 
 def fit(train: DataFrame, symbols_of: Symbols, share: np.ndarray) -> LogBilinear:
-    """Trains on all rows of train; the driver gets at most 32 averages."""
+    """Trains on all rows of train; the driver gets at most 32 averages of what all words share, and one row a symbol."""
     model = LogBilinear(share)
-    parts = stored(train.select("text").mapInArrow(_train(model, symbols_of), "part int, tokens double, params binary"), "params")
-    means = parts.repartition(32, "part").select("tokens", "params").mapInArrow(_average, "tokens double, params binary").collect()
+    n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = stored(train.select("text").mapInArrow(_train(model, symbols_of), TRAINED_DDL), "params")
+    means = parts.where("symbol < 0").repartition(32, "part").mapInArrow(_average, TRAINED_DDL).collect()
     if means:
-        flats = sorted((r.params, r.tokens) for r in means)
+        flats = sorted((bytes(r.params), r.weight) for r in means)
         model.load(np.average([np.frombuffer(p, np.float32) for p, _ in flats], axis=0, weights=[t for _, t in flats]).astype(np.float32))
+        rows = parts.where("symbol >= 0").repartition(max(n, 1), "symbol").mapInArrow(_average, TRAINED_DDL).select("symbol", "params").toArrow()
+        for batch in rows.to_batches():
+            if batch.num_rows:
+                vectors = np.frombuffer(b"".join(batch.column("params").to_pylist()), np.float32).reshape(batch.num_rows, -1)
+                model.load_rows(batch.column("symbol").to_numpy().astype(np.int64), vectors)
+    model.squares = []
     return model
 
 
-def _common(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Words with at least the least count that keeps them at `most`, with their counts, by hash; and that count."""
+def _common(counts: DataFrame, most: int, needed: float = math.inf) -> tuple[np.ndarray, np.ndarray, int]:
+    """Words with at least the least count that keeps them at `most`, or with `needed`, with their counts, by hash; and that count."""
     kinds = counts.groupBy("c").agg(F.count("*").alias("words"))
     #: The count of counts is small: it grows with the root of the tokens.
     rows = sorted(((r.c, r.words) for r in kinds.collect()), reverse=True)
     taken, least = 0, (rows[0][0] + 1) if rows else 1
     for c, words in rows:
-        if taken + words > most:
+        if taken + words > most and c < needed:
             break
         taken, least = taken + words, c
     own = counts.where(F.col("c") >= least).toPandas().sort_values("word")
@@ -199,9 +313,10 @@ def _common(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
 ROW_DDL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, common double, model double, rare array<long>"
 
 
-def scores(docs: DataFrame, vocabulary: int = VOCABULARY, common: int = COMMON) -> DataFrame:
+def scores(docs: DataFrame, vocabulary: int | None = None, common: int = COMMON, least: int = LEAST) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs.
 
+    The model knows all words with `least` occurrences in the training texts, or the `vocabulary` commonest where that is given.
     A null or empty text is one end. Rows with one doc_id are each counted and scored. Without training texts every count
     is 0, every base score 0 and the model knows ends and other words only.
     """
@@ -211,13 +326,12 @@ def scores(docs: DataFrame, vocabulary: int = VOCABULARY, common: int = COMMON)
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
     n, v = totals.n + ends, totals.v + (ends > 0)
-    words, c, _ = _common(counts, common)
-    top = np.lexsort((words, -c))[:vocabulary]
+    words, c, _ = _common(counts, common, least if vocabulary is None else math.inf)
+    top = np.lexsort((words, -c))[: (c >= least).sum() if vocabulary is None else vocabulary]
     symbols_of = Symbols(words[top])
     known = c[top]
     share = np.append(known, [totals.n - known.sum(), ends]).astype(float) + 0.5
     model = fit(train, symbols_of, share)
-    z = model.normalisers()
     #: Words beyond the vocabulary: add one half over their kinds and one more.
     other = np.log10(totals.n - known.sum() + 0.5 * (totals.v - len(top) + 1))
     unit = np.log10(n + 0.5 * (v + 1))
@@ -235,7 +349,7 @@ def scores(docs: DataFrame, vocabulary: int = VOCABULARY, common: int = COMMON)
                 beyond = symbols_of(codes) == symbols_of.other
                 row = np.repeat(rows, np.diff(words_at))
                 total = lambda x, row=row: np.bincount(row, x, minlength=part.num_rows)  # noqa: B023, E731
-                likely = np.add.reduceat(model.log_probs(symbols, one, two, z).astype(float), first) / np.log(10)
+                likely = np.add.reduceat(model.log_probs(symbols, one, two).astype(float), first) / np.log(10)
                 n_words = np.diff(words_at)
                 rare_at = np.append(0, np.cumsum(total(~usual))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
