@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from texmend.llm import decontaminate, dedup, jaccard, lm, mixing, quality, secrets, shards, toxicity
@@ -60,6 +61,27 @@ def test_secrets_finds_unassigned_credentials(spark):
     assert not any(got[100 + k] for k in range(40))
 
 
+def test_secrets_candidates_are_all_runs_of_twelve():
+    texts = ["see K7fQ2mZx9LpT ok", "see QwErTyUiOpAsDfGhJk ok", "see Xk9QdeadbeefdeadbeefZq7L ok", "token=K7fQ2mZx9LpT deadbeefdeadbeef", "short A1b2C3d4E5f"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    spans = next(secrets._scan(iter([batch]))).column("spans").to_pylist()
+    got = [[x["value"] for x in row if x["kind"] == "run"] for row in spans]
+    assert got == [["K7fQ2mZx9LpT"], ["QwErTyUiOpAsDfGhJk"], ["Xk9QdeadbeefdeadbeefZq7L"], [], []]
+    assert [x["kind"] for x in spans[2]] == ["hex", "run"]
+
+
+def test_secrets_finds_short_and_letters_only_credentials(spark):
+    rng = np.random.default_rng(3)
+    key = lambda chars, n: "".join(rng.choice(list(chars), n))
+    letters, mixed = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz", "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789"
+    rows = [(k, f"token = {key(letters if k % 2 else mixed, 12 + k % 3)} and more words") for k in range(90)] + [(100 + k, f"extraordinary{k % 7} misunderstanding in words") for k in range(40)]
+    rows += [(200, f"see {key(mixed, 13)} here"), (201, f"see {key(letters, 14)} here"), (202, f"see {key(mixed, 4)}0123456789abcdef{key(mixed, 6)} here")]
+    got = {r.doc_id: r.spans for r in secrets.report(secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got[200] == "format:4:17" and got[201] == "format:4:18"
+    assert got[202].startswith("format:4:30") and "hex:" in got[202]
+    assert not any(got[100 + k] for k in range(40))
+
+
 # Quality
 
 

@@ -23,7 +23,7 @@ from .work import stored
 ASSIGN = re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 KINDS = ("assign", "access", "hex", "format")
 
 #: Bound of the training sample, a kind.
@@ -143,11 +143,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for text in batch.column("text").to_pylist():
             base = base_spans(text or "")
-            more, at = [], 0
+            more, at, reach = [], 0, -1
             for m in RUN.finditer(text or ""):
-                while at < len(base) and base[at][1] <= m.start():
-                    at += 1
-                if (at == len(base) or base[at][0] >= m.end()) and any(c.isdigit() for c in m[0]):
+                #: reach: the furthest end of the base spans that begin no later than the run.
+                while at < len(base) and base[at][0] <= m.start():
+                    reach, at = max(reach, base[at][1]), at + 1
+                if reach < m.end():
                     more.append((m.start(), m.end(), "run", m[0]))
             rows.append([{"start": s, "end": e, "kind": k, "value": v} for s, e, k, v in base + more])
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, FOUND.field("spans").type)], schema=FOUND)
@@ -162,7 +163,7 @@ def sample_of(found: DataFrame, kind: str, rows: int) -> list[str]:
 def secrets(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, base array of (start, end, kind, value), found: base and the method's spans with kind `format`.
 
-    Candidates are runs of 16 or more credential characters with a digit that no base span touches. A null or empty text
+    Candidates are all runs of 12 or more credential characters, the least length of a labelled one, that no base span holds whole. A null or empty text
     has no spans; rows with one doc_id are each scanned; a null doc_id stays null. Without labelled matches of any kind
     no automaton can be learned and only base spans are found.
     """
