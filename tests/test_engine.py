@@ -9,6 +9,7 @@ from texmend.operators import diagnose
 from texmend.operators import stages as S
 from texmend.plans.corpus import P, Q, T
 from texmend.plans.engine import Engine, arrow
+from texmend.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +66,17 @@ def test_outside_signals(spark):
     assert [x.currency for x in s] == [True, False, False]
     assert [x.fill_blank for x in s] == [False, True, False]
     assert [x.pure_alpha_token for x in s] == [False, False, True]
+
+
+def test_whole_documents_and_pages(spark, tmp_path):
+    words = "plain words " * 400
+    texts = [words, words + "$\\frac{1}{7} \\times rac{2}{5}$", "First line\\nSecond line", None, "long " * 4000]
+    want = [words, words + "$\\frac{1}{7} \\times \\frac{2}{5}$", "First line\nSecond line", "", "long " * 4000]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    page = "<p>Solve $x_{7}$ now</p>" + "<div>more words</div>" * 200
+    spark.createDataFrame([(1, page)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = QUERIES["heal_documents"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r.prepared_text for r in got] == want
+    assert got[1].repairs == "repair_orphan_rac" and got[1].row_outcome == "math" and got[2].repairs == "literal_escape_to_whitespace"
+    out = QUERIES["heal_pages"](spark, str(tmp_path)).first()
+    assert out.prepared_text == page and "F" in out.buckets.split("|") and out.row_outcome == "math"

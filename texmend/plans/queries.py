@@ -54,6 +54,16 @@ _add("segments", None, lambda spark, d: healed(spark, d).select("dataset_row_id"
 _add("signals", None, lambda spark, d: healed(spark, d).select("dataset_row_id", F.explode("segments").alias("s")).where("s.signals IS NOT NULL").select("dataset_row_id", "s.signals.known_commands", "s.signals.super", "s.signals.sub", "s.signals.operators", "s.signals.digits", join("s.signals.corruption").alias("corruption"), "s.score"))
 
 
+def whole(spark: SparkSession, sf_dir: str, table: str, key: str, text: str) -> DataFrame:
+    """The whole texts of a table, healed; no field path is known of them."""
+    raw = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(key, F.col(text).cast("string").alias("raw_text"), F.lit(None).cast("string").alias("field_path"))
+    return Engine().heal(raw).select(key, "prepared_text", "row_outcome", join("buckets").alias("buckets"), join("repairs_applied").alias("repairs"), join("failure_reasons").alias("reasons"), long(F.size("segments")).alias("n_segments"), "html")
+
+
+_add("heal_documents", None, lambda spark, d: whole(spark, d, "documents", "doc_id", "text"))
+_add("heal_pages", None, lambda spark, d: whole(spark, d, "pages", "page_id", "html"))
+
+
 def _twice(h: DataFrame) -> DataFrame:
     first = h.where("row_outcome <> 'fallback'").select(F.col("prepared_text").alias("raw_text"), "field_path")
     return Engine().heal(first).agg(F.count("*").alias("n"), F.count_if(~F.col("raw_text").eqNullSafe(F.col("prepared_text"))).alias("changed"))
