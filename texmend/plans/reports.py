@@ -107,5 +107,5 @@ def full_match(df: DataFrame) -> DataFrame:
 
 
 def paired(a: DataFrame, b: DataFrame, key: str = "row_no") -> DataFrame:
-    """Rows of two files by their place: both carry the row number from ingest."""
+    """Rows of two tables that carry a row number each. No reader attaches one yet."""
     return a.join(b, key)
