@@ -430,3 +430,14 @@ def test_clashing_columns(clashing, spark):
     for out in (dedup.repeats(clashing), jaccard.jaccard_components(clashing), quality.quality(clashing), lm.scores(clashing, vocabulary=5), shards.materialised(clashing), secrets.secrets(clashing)):
         assert out.count() >= 97
     assert pd.DataFrame(toxicity.toxicity(clashing, spark.createDataFrame([], "doc_id long, toxic int")).collect()).shape[0] == clashing.count()
+
+
+def test_long_white_space_is_tokenised_whole(spark):
+    encoder, _ = shards.tokenizer(shards.VOCABULARY)
+    for gap in (" ", "\n", " \t\n"):
+        for n in (1, 2, 4095, 4096, 4097, 9000):
+            for text in (gap * n, "a" + gap * n, gap * n + "b", "a  " + gap * n + "b c" + gap * n + " 1", "x" * 5000 + gap * n + "!" * 5000):
+                assert list(shards._encode(encoder, text)) == encoder.encode_ordinary(text)
+    assert len(shards._encode(encoder, "a" + " " * 1_500_000 + "b")) > 2
+    docs = spark.createDataFrame([(1, " " * 1_200_000), (2, None)], "doc_id long, text string")
+    assert shards.materialised(docs).where("doc_id = 1").count() >= 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .work import stored
+from .work import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,6 +23,8 @@ def components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("next"), F.col("component").alias("far"))
         new = stored(step.join(jump, "next", "left").select("node", F.least("next", F.coalesce("far", "next")).alias("component"), "was"), "labels")
         moved = new.where("component <> was").limit(1).count()
-        labels = new.select("node", "component")
+        discard(labels)
+        labels = new
         if not moved:
-            return labels
+            discard(ways)
+            return labels.select("node", "component")

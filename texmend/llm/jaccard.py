@@ -4,10 +4,10 @@ A text's set is its distinct word shingles. Sets of like size share a band; in a
 chunks, and a chunk's sketch is the XOR of one bit a shingle among 2**16. The bits in which two sketches differ are at
 most the shingles in which the sets differ, so two linked sets differ in at most D chunks, and with M > D some chunk
 is equal: sketches are joined on (band, chunk, sketch). A sketch is kept as the XOR of 64-bit codes of its bits.
-A short sketch of the whole set, 256 bits, bounds the difference of a candidate pair once more; what passes is verified
+A sketch of the whole set, 1,024 bits, bounds the difference of a candidate pair once more; what passes is verified
 on the whole sets.
 
-Equal sets become one class at the start. In a bucket every class is held against the smallest one only, then, where a bucket
+Equal sets become one class at the start, and a task sends the keys of a class once. In a bucket every class is held against the smallest one only, then, where a bucket
 still holds several components, against a few more members; what is left in different components afterwards is held
 against the bucket's members outside its own component, so no link between components is lost and a group of near
 copies doesn't become all its pairs. The last bit of keys and codes is that of the band, of a set's own one in its code.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .text import LOWER, RangeHash, chunks, expand, mix, windows_hash, word_bounds
-from .work import stored, unused
+from .work import discard, stored, unused
 
 WORDS, PERCENT = 4, 85
 CHUNK = (1 << 20) - 1
@@ -119,20 +119,18 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("twin", F.xxhash64("text"))
 
 
-SHORT = ("s0", "s1", "s2", "s3")
+#: Words of the whole set's sketch. Sets that differ in d shingles differ in about 512 (1 - exp(-d / 512)) of its bits.
+SHORT = tuple(f"s{k}" for k in range(16))
 
 
 def short_sketches(every: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """The parity sketch of each whole set over 256 bits, as four words."""
+    """The parity sketch of each whole set over 1,024 bits, as 16 words."""
+    n, words = len(offsets) - 1, len(SHORT)
     bit = mix(every ^ np.uint64(0xA5A5A5A5))
-    word, flag = bit & np.uint64(3), np.uint64(1) << (bit >> np.uint64(2) & np.uint64(63))
-    out, some = [], np.diff(offsets) > 0
-    for k in range(len(SHORT)):
-        sketch = np.zeros(len(some), np.uint64)
-        if some.any():
-            sketch[some] = np.bitwise_xor.reduceat(np.where(word == k, flag, 0).astype(np.uint64), offsets[:-1][some])
-        out.append(sketch.view(np.int64))
-    return out
+    at = np.repeat(np.arange(n), np.diff(offsets)) * (64 * words) + (bit % np.uint64(64 * words)).astype(np.int64)
+    odd = (np.bincount(at, minlength=n * 64 * words) & 1).astype(np.uint8)
+    packed = np.packbits(odd, bitorder="little").view("<i8").reshape(n, words)
+    return [np.ascontiguousarray(packed[:, k]) for k in range(words)]
 
 
 def _near(a: str, b: str, percent: int) -> Column:
@@ -153,11 +151,20 @@ def _sizes(k: int, percent: int):
 
 
 def _keys(k: int, percent: int):
+    """Keys of each set, once for all copies that a task reads: of a large group of copies a bucket gets a row a task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
             for _, data, at in chunks(batch, "text", CHUNK):
                 every, offsets = shingle_sets(data, at, k)
                 codes = set_codes(every, offsets, percent)
+                new = np.zeros(len(codes), bool)
+                new[np.unique(codes, return_index=True)[1]] = True
+                new &= [c not in sent for c in codes.tolist()]
+                sent.update(codes[new].tolist())
+                every = every[np.repeat(new, np.diff(offsets))]
+                codes, offsets = codes[new], np.append(0, np.cumsum(np.diff(offsets)[new]))
                 key, whose = sketch_keys(every, offsets, percent)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(codes[whose])], names=["key", "code"])
 
@@ -204,14 +211,16 @@ def _verify(k: int, percent: int):
 
 
 def links_of(pairs: DataFrame, texts: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of class codes whose sets are similar, by their representatives' texts."""
+    """The pairs (a, b) of class codes whose sets are similar, by their representatives' texts; a stored() table."""
     need = pairs.select(F.col("a").alias("code")).unionByName(pairs.select(F.col("b").alias("code"))).distinct().join(classes, "code").select("code", F.col("doc_id").alias("_id"), F.col("twin").alias("_twin"))
     found = stored(texts.join(need, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("twin") == F.col("_twin"))).select("code", "text"), "texts")
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
     members = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).join(found.withColumnRenamed("code", "b"), "b").select("a", "b", "part", F.lit(1).alias("kind"), "text")
     heads = parts.join(found.withColumnRenamed("code", "a"), "a").select("a", F.lit(0).cast("long").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "text")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return heads.unionByName(members).repartition(n, "a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(_verify(k, percent), "a long, b long")
+    links = stored(heads.unionByName(members).repartition(n, "a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(_verify(k, percent), "a long, b long"), "links")
+    discard(found)
+    return links
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -222,7 +231,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     if no other id is in it (component_id null).
     """
     texts = _texts(docs)
-    sized = stored(texts.mapInArrow(_sizes(words, percent), "doc_id long, twin long, n long, code long, s0 long, s1 long, s2 long, s3 long"), "sizes")
+    sized = stored(texts.mapInArrow(_sizes(words, percent), "doc_id long, twin long, n long, code long, " + ", ".join(f"{c} long" for c in SHORT)), "sizes")
     lowest: Column = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "twin"))
     classes = stored(sized.where("n > 0").groupBy("code").agg(lowest.alias("low"), *(F.min(c).alias(c) for c in ("n", *SHORT))).select("code", F.col("low.doc_id").alias("doc_id"), F.col("low.twin").alias("twin"), "n", *SHORT), "classes")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -230,7 +239,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     buckets = stored(rows.repartition(max(n, 1), "key").sortWithinPartitions("key", "code").mapInArrow(_buckets, "key long, a long, b long"), "buckets")
     short = lambda c: classes.select(F.col("code").alias(c), *(F.col(x).alias(c + x) for x in ("n", *SHORT)))
     star = stored(buckets.select("a", "b").distinct().join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b"), "pairs")
-    links = stored(links_of(star, texts, classes, words, percent), "links")
+    links = links_of(star, texts, classes, words, percent)
     of = components(links)
     #: Buckets that still hold more than one component. For a few rounds another member, drawn by a hash of it and the round,
     #: is the centre of a new star, so that groups of near copies grow together; a round's pairs are no more than the members.
@@ -241,16 +250,23 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         return stored(rows.join(rows.where("a_of <> b_of").select("key").distinct(), "key", "left_semi"), "left")
 
     left = split(buckets)
+    discard(buckets)
     for k in range(STARS):
         centres = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("b", F.lit(k)), "b", "b_of")).alias("low")).select("key", F.col("low.b").alias("centre"), F.col("low.b_of").alias("centre_of"))
         again = left.select("key", "b", "b_of").join(centres, "key").where("centre_of <> b_of").select(F.least("centre", "b").alias("a"), F.greatest("centre", "b").alias("b")).distinct()
         again = stored(again.join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b").join(star, ["a", "b"], "left_anti"), "pairs")
         if not again.limit(1).count():
             continue
-        star = stored(star.unionByName(again), "pairs")
-        links = stored(links.unionByName(links_of(again, texts, classes, words, percent)), "links")
-        of = components(links)
-        left = split(left.select("key", "a", "b"))
+        more = links_of(again, texts, classes, words, percent)
+        if more.limit(1).count():
+            before, links = links, stored(links.unionByName(more), "links")
+            of = components(links)
+            discard(before)
+            before, left = left, split(left.select("key", "a", "b"))
+            discard(before)
+        discard(more)
+        before, star = star, stored(star.unionByName(again), "pairs")
+        discard(before, again)
     #: What still lies apart is held against all others of its bucket outside its component.
     own = left.where("a_of <> b_of").select("key", "b", "b_of")
     if own.limit(1).count():
@@ -263,9 +279,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         crossed = own.join(every, (own["key"] == every["key"]) & (F.col("b_of") != F.col("c_of")) & once & _near("b", "c", percent)).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
         crossed = stored(crossed.join(star, ["a", "b"], "left_anti"), "crossed")
         if crossed.limit(1).count():
-            more = stored(links_of(crossed, texts, classes, words, percent), "more")
+            more = links_of(crossed, texts, classes, words, percent)
             if more.limit(1).count():
-                of = components(reduce(DataFrame.unionByName, [links, more]))
+                of = components(links.unionByName(more))
+            discard(more)
+        discard(crossed)
+    discard(left, star, links)
     named = classes.join(of, F.col("code") == F.col("node"), "left").withColumn("component", F.coalesce("component", "code"))
     low = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_code = named.select("code", "component").join(low, "component").select("code", "component_id")

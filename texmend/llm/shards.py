@@ -2,8 +2,10 @@
 
 Texts become token ids, cut into sequences. A sequence's ordinal is its place in the stored table (rows of the files
 before and its row in the file), and a keyed Feistel permutation of the ordinals, walked until it falls below their
-number, is its slot. Partitions hold ranges of slots and write them in order, one shard each. Spark's text sink writes
-the records: their last bytes are the sink's separator, so any store will do and a lost task leaves nothing behind.
+number, is its slot. Python workers make the records and the slots; the slots come from ordinals alone, so that records
+stay in the JVM from then on. Partitions hold ranges of slots and write them in order, several shards each, a file a
+shard. Spark's text sink writes the records: their last bytes are the sink's separator, so any store will do and a lost
+task leaves nothing behind.
 
 A record: sequence length ids of 2 or 4 bytes (filled up with the end id), doc_id (8 bytes, -2**63 for null), number of
 the sequence in the text (4), ids that count (4), the bytes 0D 0A 0D 0A; all little-endian. Slot s is record s mod
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .text import mix
-from .work import free_shuffles, new_path, stored
+from .work import bounded, discard, free_shuffles, new_path, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the word pattern of the vocabulary.
@@ -32,6 +35,10 @@ KEY = 0x1F3D5B79
 ROUNDS = 6
 #: Ranges of slots that are dealt out one after the other, each with its own shuffle, so that little of the data lies in shuffle files at a time.
 PASSES = 4
+#: Shards that a task writes, at most, and records that a worker returns in a batch, about.
+TASK_SHARDS, ROWS_OUT = 32, 1024
+#: Runs of white space that are cut off before the word pattern sees them.
+LONG_BLANK = re.compile(r"\s{4096,}")
 SEPARATOR = "\r\n\r\n"
 NULL_ID = -(1 << 63)
 
@@ -49,31 +56,61 @@ def width_of(end: int) -> int:
     return 2 if end < 1 << 16 else 4
 
 
+def _pieces(encoder, text: str) -> Iterator[list[int]]:
+    """The ids of text, by parts. A long run of white space is one part, but for its last character before a word.
+
+    The word pattern takes such a run by itself in the same way, but its matcher keeps a state a character and gives up
+    on runs of a million.
+    """
+    done = 0
+    for run in LONG_BLANK.finditer(text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        if run.start() > done:
+            yield encoder.encode_ordinary(text[done : run.start()])
+        yield encoder._encode_single_piece(text[run.start() : stop])
+        done = stop
+    yield encoder.encode_ordinary(text[done:])
+
+
+def _encode(encoder, text: str) -> np.ndarray:
+    return np.concatenate([np.array(ids, np.int64) for ids in _pieces(encoder, text)])
+
+
 def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGTH) -> DataFrame:
-    """doc_id, seq, n, ids (n ids as bytes): each text and its end id, cut every `length` ids."""
+    """record (bytes): each text and its end id, cut every `length` ids, as records without their mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = tokenizer(vocabulary)
         kind = np.dtype(f"<u{width_of(end)}")
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                ids, seqs, counts, blobs = [], [], [], []
-                part = batch.slice(at, 256)
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    tokens = np.append(_encode(encoder, text or ""), end).astype(kind)
-                    for k in range(0, len(tokens), length):
-                        own = tokens[k : k + length]
-                        ids.append(doc)
-                        seqs.append(k // length)
-                        counts.append(len(own))
-                        blobs.append(own.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(seqs, pa.int32()), pa.array(counts, pa.int32()), pa.array(blobs, pa.binary())], names=["doc_id", "seq", "n", "ids"])
-
-    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(run, "doc_id long, seq int, n int, ids binary")
-
-
-def _encode(encoder, text: str) -> np.ndarray:
-    return np.array(encoder.encode_ordinary(text), np.int64)
+            records, held = [], 0
+            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                tokens = np.append(_encode(encoder, text.as_py() or ""), end)
+                n = -(-len(tokens) // length)
+                rows = np.zeros((n, length * kind.itemsize + 16), np.uint8)
+                ids = np.full(n * length, end, kind)
+                ids[: len(tokens)] = tokens
+                rows[:, :-16] = ids.view(np.uint8).reshape(n, -1)
+                rows[:, -16:-8] = np.array([NULL_ID if doc.as_py() is None else doc.as_py()], "<i8").view(np.uint8)
+                rows[:, -8:-4] = np.arange(n, dtype="<i4").view(np.uint8).reshape(n, 4)
+                rows[:, -4:] = np.minimum(len(tokens) - np.arange(n) * length, length).astype("<i4").view(np.uint8).reshape(n, 4)
+                records.append(rows)
+                held += n
+                if held >= ROWS_OUT:
+                    yield from _blobs(records)
+                    records, held = [], 0
+            if held:
+                yield from _blobs(records)
+
+    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(run, "record binary")
+
+
+def _blobs(records: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    rows = np.concatenate(records)
+    for k in range(0, len(rows), 2 * ROWS_OUT):
+        part = rows[k : k + 2 * ROWS_OUT]
+        at = np.arange(len(part) + 1, dtype=np.int32) * part.shape[1]
+        yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(part))])], names=["record"])
 
 
 def permute(index: np.ndarray, n: int, key: int = KEY, rounds: int = ROUNDS) -> np.ndarray:
@@ -102,38 +139,28 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, lengt
     spark = docs.sparkSession
     _, end = tokenizer(vocabulary)
     width = width_of(end)
-    table = stored(sequences(docs, vocabulary, length), "sequences").select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-    files = stored(table.groupBy("file").agg(F.count("*").alias("rows")), "files")
+    table = stored(sequences(docs, vocabulary, length), "sequences")
+    where = table.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    files = stored(where.groupBy("file").agg(F.count("*").alias("rows")), "files")
     before = F.coalesce(F.sum("rows").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     total = files.agg(F.sum("rows")).first()[0] or 0
-    placed = table.join(files.select("file", before.alias("before")), "file").select((F.col("before") + F.col("row")).alias("ordinal"), "doc_id", "seq", "n", "ids")
 
-    def slots(start: int, stop: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                slot = permute(b.column("ordinal").to_numpy(), total, key)
-                own = pa.array((slot >= start) & (slot < stop))
-                yield pa.RecordBatch.from_arrays([pa.array(slot), *(b.column(c) for c in ("doc_id", "seq", "n", "ids"))], names=["slot", "doc_id", "seq", "n", "ids"]).filter(own)
-
-        return run
-
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fill = np.array([end], f"<u{width}").tobytes() * length
-        for b in batches:
-            ids = b.column("doc_id").fill_null(NULL_ID).to_numpy().astype("<i8")
-            seq, n = (b.column(c).to_numpy().astype("<i4") for c in ("seq", "n"))
-            rows = [(x + fill[len(x) :]) + i.tobytes() + s.tobytes() + c.tobytes() for x, i, s, c in zip(b.column("ids").to_pylist(), ids, seq, n, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
+    @F.arrow_udf("long")
+    def slot(ordinals: pa.Array) -> pa.Array:
+        return pa.array(permute(ordinals.to_numpy(zero_copy_only=False), total, key))
 
-    #: Partition k of a pass holds shard first + k, so folders and the sink's file names number the shards.
+    placed = where.join(files.select("file", before.alias("before")), "file").select(slot(F.col("before") + F.col("row")).alias("slot"), "record")
+    #: A task's shards: several where the table has many, fewer where cores would stay idle.
     shards = max(1, -(-total // shard_rows))
     each = -(-shards // PASSES)
+    group = max(1, min(TASK_SHARDS, each // (2 * spark.sparkContext.defaultParallelism)))
     for first in range(0, shards, each):
         last = min(shards, first + each)
-        dealt = placed.mapInArrow(slots(first * shard_rows, last * shard_rows), "slot long, doc_id long, seq int, n int, ids binary")
-        dealt = dealt.repartitionById(last - first, (F.floor(F.col("slot") / shard_rows) - first).cast("int")).sortWithinPartitions("slot")
-        dealt.select("doc_id", "seq", "n", "ids").mapInArrow(records, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", SEPARATOR).text(f"{path}/first={first}")
+        dealt = placed.where((F.col("slot") >= first * shard_rows) & (F.col("slot") < last * shard_rows)).withColumn("shard", F.floor(F.col("slot") / shard_rows).cast("int"))
+        dealt = dealt.repartitionById(-(-(last - first) // group), F.floor((F.col("shard") - first) / group).cast("int")).sortWithinPartitions("shard", "slot")
+        dealt.select("shard", F.col("record").cast("string").alias("value")).write.mode("append").partitionBy("shard").option("lineSep", SEPARATOR).text(path)
         free_shuffles(spark)
+    discard(table, files)
     return total
 
 
@@ -147,6 +174,7 @@ def read_shards(spark: SparkSession, path: str, start: int = 0, stop: int | None
     A shard is one file of at most shard_rows records; only shards that hold slots of the range are read.
     """
     step = stride(width, length)
+    bounded(spark)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -164,9 +192,10 @@ def read_shards(spark: SparkSession, path: str, start: int = 0, stop: int | None
                 tokens = pa.array([r[: width * k].tobytes() for r, k in zip(rows, n, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(number + shard * shard_rows), pa.array(np.full(len(rows), shard, np.int32)), pa.array(number * step), pa.array(ids, mask=ids == NULL_ID), pa.array(seq.copy()), pa.array(n.copy()), tokens], names=["slot", "shard", "offset", "doc_id", "seq", "n", "ids"])
 
-    number = lambda pattern: F.regexp_extract("_metadata.file_path", pattern, 1).cast("int")
-    shard = number(r"/first=(\d+)/") + number(r"/part-(\d+)[^/]*$")
-    files = spark.read.format("binaryFile").load(path).select(shard.alias("shard"), "content").where(shard >= start // shard_rows)
+    files = spark.read.format("binaryFile").load(path)
+    if "shard" not in files.columns:  # no shard was written
+        files = files.withColumn("shard", F.lit(0))
+    files = files.where(F.col("shard") >= start // shard_rows)
     out = files if stop is None else files.where(F.col("shard") <= (stop - 1) // shard_rows)
     out = out.select("shard", "content").mapInArrow(cut, "slot long, shard int, offset long, doc_id long, seq int, n int, ids binary").where(F.col("slot") >= start)
     return out if stop is None else out.where(F.col("slot") < stop)
