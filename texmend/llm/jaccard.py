@@ -4,8 +4,9 @@ A text's set is its distinct word shingles. Sets of like size share a band; in a
 chunks, and a chunk's sketch is the XOR of one bit a shingle among 2**16. The bits in which two sketches differ are at
 most the shingles in which the sets differ, so two linked sets differ in at most D chunks, and with M > D some chunk
 is equal: sketches are joined on (band, chunk, sketch). A sketch is kept as the XOR of 64-bit codes of its bits.
-A sketch of the whole set, 1,024 bits, bounds the difference of a candidate pair once more; what passes is verified
-on the whole sets.
+A sketch of the whole set, 1,024 bits, bounds the difference of a candidate pair once more, and for larger sets another
+one with a bit or two a shingle; what passes is verified on the whole sets. Chunks of one shingle or none, in which texts
+meet that share no more than a passage, are left out where chunks enough remain.
 
 Equal sets become one class at the start, and a task sends the keys of a class once. In a bucket every class is held against the smallest one only, then, where a bucket
 still holds several components, against a few more members; what is left in different components afterwards is held
@@ -33,9 +34,12 @@ CHUNK = (1 << 20) - 1
 GROUP = 1000
 #: Rounds of further stars.
 STARS = 4
-#: Chunks beyond D + 1, a fixed number and a share of D. A set with no more empty sketches than that leaves its empty ones
-#: out: of the equal ones at least one isn't empty.
-SLACK, SLACK_SHARE = 3, 0.02
+#: Chunks beyond D + 1, a fixed number and a share of D: linked sets have one more equal chunks than that. A set with no more
+#: chunks of `weak` or fewer shingles leaves these out. Equal chunks have equal numbers of shingles, so linked sets leave out no more
+#: than that of their equal chunks, and one at least remains.
+SLACK, SLACK_SHARE, WEAK = 3, 0.12, 1
+#: Sets beyond so many shingles have a second sketch, with a power of two bits of at least their size.
+WIDE = 1024
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -103,12 +107,15 @@ def sketch_keys(every: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[n
         sketch = np.zeros(total, np.uint64)
         if len(heads):
             sketch[at[heads]] = np.bitwise_xor.reduceat(bit[order], heads)
-        full = sketch != 0
         owner = np.repeat(np.arange(len(n)), m)
-        empty = np.bincount(owner[~full], minlength=len(n))
-        out = full | ((empty > slack) | (differ == 0))[owner]
+        held = np.bincount(chunk, minlength=total)
+        out = np.ones(total, bool)
+        for weak in range(WEAK + 1):
+            few = held <= weak
+            leave = (np.bincount(owner[few], minlength=len(n)) <= slack) & (differ > 0)
+            out[few & leave[owner]] = False
         number = (np.arange(total) - first[owner]).astype(np.uint64)
-        key = _marked(mix(mix(number + (band[owner].astype(np.uint64) << np.uint64(32))) + sketch), band[owner])
+        key = _marked(mix(mix(number + (band[owner].astype(np.uint64) << np.uint64(32))) + sketch + np.minimum(held, 3).astype(np.uint64)), band[owner])
         keys.append(key[out])
         whose.append(owner[out])
     return np.concatenate(keys).view(np.int64), np.concatenate(whose)
@@ -133,6 +140,39 @@ def short_sketches(every: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [np.ascontiguousarray(packed[:, k]) for k in range(words)]
 
 
+def wide_sketches(every: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
+    """The parity sketch of each set of more than WIDE shingles, as bytes."""
+    out: list[bytes | None] = [None] * (len(offsets) - 1)
+    for r in np.flatnonzero(np.diff(offsets) > WIDE):
+        own = every[offsets[r] : offsets[r + 1]]
+        bits = 1 << (len(own) - 1).bit_length()
+        odd = np.bincount((mix(own ^ np.uint64(0x3C3C3C3C)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        out[r] = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return out
+
+
+def _wide_bits(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Bits in which two wide sketches differ, the longer one folded to the length of the other; null without both."""
+    out = []
+    for x, y in zip(a, b, strict=True):
+        if not x.is_valid or not y.is_valid:
+            out.append(None)
+            continue
+        x, y = (np.frombuffer(v.as_buffer(), np.uint8) for v in (x, y))
+        while len(x) != len(y):
+            x, y = (x, y) if len(x) > len(y) else (y, x)
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        out.append(int(np.bitwise_count(x ^ y).sum()))
+    return pa.array(out, pa.int32())
+
+
+def _wide_near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose wide sketches, if both have one, allow a link."""
+    side = lambda c: classes.select(F.col("code").alias(c), F.col("n").alias(f"{c}n"), F.col("wide").alias(f"{c}w"))
+    bits = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("bits", F.arrow_udf(_wide_bits, "int")("aw", "bw"))
+    return bits.where(F.col("bits").isNull() | (F.col("bits") * (100 + percent) <= (F.col("an") + F.col("bn")) * (100 - percent))).select("a", "b")
+
+
 def _near(a: str, b: str, percent: int) -> Column:
     """Whether sizes and short sketches of two sets allow a link: sketches differ in no more bits than linked sets in shingles."""
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
@@ -145,7 +185,7 @@ def _sizes(k: int, percent: int):
         for batch in batches:
             for part, data, at in chunks(batch, "text", CHUNK):
                 every, offsets = shingle_sets(data, at, k)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("twin"), pa.array(np.diff(offsets)), pa.array(set_codes(every, offsets, percent)), *map(pa.array, short_sketches(every, offsets))], names=["doc_id", "twin", "n", "code", *SHORT])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("twin"), pa.array(np.diff(offsets)), pa.array(set_codes(every, offsets, percent)), pa.array(wide_sketches(every, offsets), pa.binary()), *map(pa.array, short_sketches(every, offsets))], names=["doc_id", "twin", "n", "code", "wide", *SHORT])
 
     return run
 
@@ -231,14 +271,15 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     if no other id is in it (component_id null).
     """
     texts = _texts(docs)
-    sized = stored(texts.mapInArrow(_sizes(words, percent), "doc_id long, twin long, n long, code long, " + ", ".join(f"{c} long" for c in SHORT)), "sizes")
+    sized = stored(texts.mapInArrow(_sizes(words, percent), "doc_id long, twin long, n long, code long, wide binary, " + ", ".join(f"{c} long" for c in SHORT)), "sizes")
     lowest: Column = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "twin"))
-    classes = stored(sized.where("n > 0").groupBy("code").agg(lowest.alias("low"), *(F.min(c).alias(c) for c in ("n", *SHORT))).select("code", F.col("low.doc_id").alias("doc_id"), F.col("low.twin").alias("twin"), "n", *SHORT), "classes")
+    classes = stored(sized.where("n > 0").groupBy("code").agg(lowest.alias("low"), *(F.min(c).alias(c) for c in ("n", "wide", *SHORT))).select("code", F.col("low.doc_id").alias("doc_id"), F.col("low.twin").alias("twin"), "n", "wide", *SHORT), "classes")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = texts.where(F.length("text") > 0).select("text").mapInArrow(_keys(words, percent), "key long, code long")
     buckets = stored(rows.repartition(max(n, 1), "key").sortWithinPartitions("key", "code").mapInArrow(_buckets, "key long, a long, b long"), "buckets")
     short = lambda c: classes.select(F.col("code").alias(c), *(F.col(x).alias(c + x) for x in ("n", *SHORT)))
-    star = stored(buckets.select("a", "b").distinct().join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b"), "pairs")
+    likely = lambda df: _wide_near(df.join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b"), classes, percent)
+    star = stored(likely(buckets.select("a", "b").distinct()), "pairs")
     links = links_of(star, texts, classes, words, percent)
     of = components(links)
     #: Buckets that still hold more than one component. For a few rounds another member, drawn by a hash of it and the round,
@@ -254,7 +295,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     for k in range(STARS):
         centres = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("b", F.lit(k)), "b", "b_of")).alias("low")).select("key", F.col("low.b").alias("centre"), F.col("low.b_of").alias("centre_of"))
         again = left.select("key", "b", "b_of").join(centres, "key").where("centre_of <> b_of").select(F.least("centre", "b").alias("a"), F.greatest("centre", "b").alias("b")).distinct()
-        again = stored(again.join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b").join(star, ["a", "b"], "left_anti"), "pairs")
+        again = stored(likely(again.join(star, ["a", "b"], "left_anti")), "pairs")
         if not again.limit(1).count():
             continue
         more = links_of(again, texts, classes, words, percent)
@@ -277,7 +318,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         every = every.withColumn("c_up", upper("c")).join(short("c"), "c")
         once = (F.col("home") | (F.col("b") < F.col("c"))) & ~(F.col("b_up") & F.col("c_up"))
         crossed = own.join(every, (own["key"] == every["key"]) & (F.col("b_of") != F.col("c_of")) & once & _near("b", "c", percent)).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
-        crossed = stored(crossed.join(star, ["a", "b"], "left_anti"), "crossed")
+        crossed = stored(_wide_near(crossed.join(star, ["a", "b"], "left_anti"), classes, percent), "crossed")
         if crossed.limit(1).count():
             more = links_of(crossed, texts, classes, words, percent)
             if more.limit(1).count():
