@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import LOWER, NOT_ALNUM, RangeHash, chunks, covered, expand, word_bounds
+from .text import LOWER, NOT_ALNUM, RangeHash, chunks, covered, expand, lean, word_bounds
 from .work import stored, unused
 
 WINDOW = 13
@@ -62,7 +62,7 @@ def build_index(docs: DataFrame) -> DataFrame:
                 )
                 number += 1
 
-    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(run, INDEX_DDL)
+    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(lean(run), INDEX_DDL)
 
 
 class Segment:
@@ -224,7 +224,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
             n_hit = np.array(hit, np.int64)
             yield pd.DataFrame({"doc_id": b.doc_id.astype("Int64"), "n_words": b.n_words, "n_hit": n_hit, "n_items": [len(x) for x in b["items"]], "items_sha256": [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in b["items"]], "contaminated": (n_hit > 0) & (20 * n_hit >= b.n_words)})
 
-    return found.mapInPandas(digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return found.mapInPandas(lean(digest), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

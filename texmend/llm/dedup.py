@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import RangeHash, chunks, mix
+from .text import RangeHash, chunks, lean, mix
 from .work import stored
 
 LENGTH, Q = 100, 32
@@ -287,13 +287,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     low = -(1 << 63)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(low)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("twin", F.xxhash64("text"))
-    found = texts.mapInArrow(_anchors(length, q), ANCHOR_DDL)
-    kinds = stored(found.repartition(n, "bucket").sortWithinPartitions("bucket", "context", "doc_id", "place").mapInArrow(_repeated, "whole boolean, bucket long, doc_id long, twin long, place int"), "kinds")
+    found = texts.mapInArrow(lean(_anchors(length, q)), ANCHOR_DDL)
+    kinds = stored(found.repartition(n, "bucket").sortWithinPartitions("bucket", "context", "doc_id", "place").mapInArrow(lean(_repeated), "whole boolean, bucket long, doc_id long, twin long, place int"), "kinds")
     part = kinds.where("NOT whole")
     hot = part.groupBy("bucket").count().where(F.col("count") > HOT).select("bucket", F.lit(True).alias("hot"))
     marks = part.join(hot, "bucket", "left").groupBy("doc_id", "twin").agg(F.collect_list(F.struct("bucket", "place", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("marks"))
-    contexts = texts.join(marks, ["doc_id", "twin"]).mapInArrow(_contexts(length, q), CONTEXT_DDL)
-    partial = stored(contexts.repartition(n, "bucket").sortWithinPartitions("bucket", "offset", "doc_id", "place").mapInArrow(_refined(length, q), SPAN_DDL), "spans")
+    contexts = texts.join(marks, ["doc_id", "twin"]).mapInArrow(lean(_contexts(length, q)), CONTEXT_DDL)
+    partial = stored(contexts.repartition(n, "bucket").sortWithinPartitions("bucket", "offset", "doc_id", "place").mapInArrow(lean(_refined(length, q)), SPAN_DDL), "spans")
     whole = kinds.where("whole").select("doc_id", "twin", "place")
 
     spans = whole.groupBy("doc_id", "twin").agg(F.collect_list("place").alias("places"))
@@ -311,7 +311,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:
                 runs.append([{"start": a, "end": b} for a, b in removed_runs(np.concatenate([ranges, blob]), length)])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))], names=["doc_id", "text", "runs"])
 
-    out = joined.mapInArrow(run, "doc_id long, text string, runs array<struct<start:int,end:int>>")
+    out = joined.mapInArrow(lean(run), "doc_id long, text string, runs array<struct<start:int,end:int>>")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != low, F.col("doc_id")))
 
 
@@ -333,4 +333,4 @@ def report(found: DataFrame) -> DataFrame:
                 shas.append(hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array([len(r) for r in batch.column("runs").to_pylist()], pa.int64()), pa.array(shas)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return found.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return found.mapInArrow(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

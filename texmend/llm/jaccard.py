@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .text import LOWER, RangeHash, chunks, expand, mix, windows_hash, word_bounds
+from .text import LOWER, RangeHash, chunks, expand, lean, mix, windows_hash, word_bounds
 from .work import discard, stored, unused
 
 WORDS, PERCENT = 4, 85
@@ -258,7 +258,7 @@ def links_of(pairs: DataFrame, texts: DataFrame, classes: DataFrame, k: int, per
     members = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).join(found.withColumnRenamed("code", "b"), "b").select("a", "b", "part", F.lit(1).alias("kind"), "text")
     heads = parts.join(found.withColumnRenamed("code", "a"), "a").select("a", F.lit(0).cast("long").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "text")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = stored(heads.unionByName(members).repartition(n, "a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(_verify(k, percent), "a long, b long"), "links")
+    links = stored(heads.unionByName(members).repartition(n, "a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(lean(_verify(k, percent)), "a long, b long"), "links")
     discard(found)
     return links
 
@@ -271,12 +271,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     if no other id is in it (component_id null).
     """
     texts = _texts(docs)
-    sized = stored(texts.mapInArrow(_sizes(words, percent), "doc_id long, twin long, n long, code long, wide binary, " + ", ".join(f"{c} long" for c in SHORT)), "sizes")
+    sized = stored(texts.mapInArrow(lean(_sizes(words, percent)), "doc_id long, twin long, n long, code long, wide binary, " + ", ".join(f"{c} long" for c in SHORT)), "sizes")
     lowest: Column = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "twin"))
     classes = stored(sized.where("n > 0").groupBy("code").agg(lowest.alias("low"), *(F.min(c).alias(c) for c in ("n", "wide", *SHORT))).select("code", F.col("low.doc_id").alias("doc_id"), F.col("low.twin").alias("twin"), "n", "wide", *SHORT), "classes")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = texts.where(F.length("text") > 0).select("text").mapInArrow(_keys(words, percent), "key long, code long")
-    buckets = stored(rows.repartition(max(n, 1), "key").sortWithinPartitions("key", "code").mapInArrow(_buckets, "key long, a long, b long"), "buckets")
+    rows = texts.where(F.length("text") > 0).select("text").mapInArrow(lean(_keys(words, percent)), "key long, code long")
+    buckets = stored(rows.repartition(max(n, 1), "key").sortWithinPartitions("key", "code").mapInArrow(lean(_buckets), "key long, a long, b long"), "buckets")
     short = lambda c: classes.select(F.col("code").alias(c), *(F.col(x).alias(c + x) for x in ("n", *SHORT)))
     likely = lambda df: _wide_near(df.join(short("a"), "a").join(short("b"), "b").where(_near("a", "b", percent)).select("a", "b"), classes, percent)
     star = stored(likely(buckets.select("a", "b").distinct()), "pairs")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import LOWER, RangeHash, chunks, word_bounds
+from .text import LOWER, RangeHash, chunks, lean, word_bounds
 from .work import stored
 
 SIZE, NOISE, OWN_NOISE, BATCH, RATE = 16, 64, 8, 4096, 0.1
@@ -282,12 +282,12 @@ def fit(train: DataFrame, symbols_of: Symbols, share: np.ndarray) -> LogBilinear
     """Trains on all rows of train; the driver gets at most 32 averages of what all words share, and one row a symbol."""
     model = LogBilinear(share)
     n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = stored(train.select("text").mapInArrow(_train(model, symbols_of), TRAINED_DDL), "params")
-    means = parts.where("symbol < 0").repartition(32, "part").mapInArrow(_average, TRAINED_DDL).collect()
+    parts = stored(train.select("text").mapInArrow(lean(_train(model, symbols_of)), TRAINED_DDL), "params")
+    means = parts.where("symbol < 0").repartition(32, "part").mapInArrow(lean(_average), TRAINED_DDL).collect()
     if means:
         flats = sorted((bytes(r.params), r.weight) for r in means)
         model.load(np.average([np.frombuffer(p, np.float32) for p, _ in flats], axis=0, weights=[t for _, t in flats]).astype(np.float32))
-        rows = parts.where("symbol >= 0").repartition(max(n, 1), "symbol").mapInArrow(_average, TRAINED_DDL).select("symbol", "params").toArrow()
+        rows = parts.where("symbol >= 0").repartition(max(n, 1), "symbol").mapInArrow(lean(_average), TRAINED_DDL).select("symbol", "params").toArrow()
         for batch in rows.to_batches():
             if batch.num_rows:
                 vectors = np.frombuffer(b"".join(batch.column("params").to_pylist()), np.float32).reshape(batch.num_rows, -1)
@@ -322,7 +322,7 @@ def scores(docs: DataFrame, vocabulary: int | None = None, common: int = COMMON,
     """
     texts = docs.selectExpr(*DOCS)
     train = texts.where(~held_out())
-    counts = stored(train.select("text").mapInArrow(_counts, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")), "counts")
+    counts = stored(train.select("text").mapInArrow(lean(_counts), "word long, c long").groupBy("word").agg(F.sum("c").alias("c")), "counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
     n, v = totals.n + ends, totals.v + (ends > 0)
@@ -361,7 +361,7 @@ def scores(docs: DataFrame, vocabulary: int | None = None, common: int = COMMON,
                 )
                 number += part.num_rows
 
-    rows = stored(texts.withColumn("held_out", held_out()).mapInArrow(run, ROW_DDL), "rows")
+    rows = stored(texts.withColumn("held_out", held_out()).mapInArrow(lean(run), ROW_DDL), "rows")
     rare = rows.select("row", F.explode("rare").alias("word")).join(counts, "word", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.5))).alias("more"), F.count("c").alias("more_known"))
     more = F.coalesce("more", F.lit(0.0))

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import SPACE, RangeHash, chunks, covered, mix, row_sums, utf8, word_bounds
+from .text import SPACE, RangeHash, chunks, covered, lean, mix, row_sums, utf8, word_bounds
 
 #: Bytes of text that one suffix array takes at most, or one text if that is longer.
 CHUNK = (1 << 20) - 1
@@ -146,7 +146,7 @@ def quality(docs: DataFrame, least: int = LEAST, share: float = SHARE, longest:
             for part, m in _judged(batch, least, share, longest):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(m[c]) for c in columns)], names=["doc_id", *columns])
 
-    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(run, f"doc_id long, {DDL}")
+    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(lean(run), f"doc_id long, {DDL}")
 
 
 def kept(docs: DataFrame, least: int = LEAST, share: float = SHARE, longest: int = LONGEST) -> DataFrame:
@@ -157,7 +157,7 @@ def kept(docs: DataFrame, least: int = LEAST, share: float = SHARE, longest: int
             for part, m in _judged(batch, least, share, longest):
                 yield part.filter(pa.array(m["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 #: DuckDB: all but the method's verdict, for tests; `kept` stands for it where the base fails.

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import mix
+from .text import lean, mix
 from .work import bounded, discard, free_shuffles, new_path, stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -102,7 +102,7 @@ def sequences(docs: DataFrame, vocabulary: str = VOCABULARY, length: int = LENGT
             if held:
                 yield from _blobs(records)
 
-    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(run, "record binary")
+    return docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(lean(run), "record binary")
 
 
 def _blobs(records: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +197,7 @@ def read_shards(spark: SparkSession, path: str, start: int = 0, stop: int | None
         files = files.withColumn("shard", F.lit(0))
     files = files.where(F.col("shard") >= start // shard_rows)
     out = files if stop is None else files.where(F.col("shard") <= (stop - 1) // shard_rows)
-    out = out.select("shard", "content").mapInArrow(cut, "slot long, shard int, offset long, doc_id long, seq int, n int, ids binary").where(F.col("slot") >= start)
+    out = out.select("shard", "content").mapInArrow(lean(cut), "slot long, shard int, offset long, doc_id long, seq int, n int, ids binary").where(F.col("slot") >= start)
     return out if stop is None else out.where(F.col("slot") < stop)
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,23 @@ class RangeHash:
         return mix((self.sums[ends] - self.sums[starts]) * self.up[starts] + (ends - starts).astype(np.uint64))
 
 
+def lean(function: Callable) -> Callable:
+    """function on batches, whose worker gives its freed memory back when a task ends: workers wait for further tasks."""
+
+    @wraps(function)
+    def run(*args):
+        try:
+            yield from function(*args)
+        finally:
+            _powers.cache_clear()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column, null as empty, and the n + 1 offsets."""
     if isinstance(column, pa.ChunkedArray):

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .text import lean
 from .work import new_path, stored
 
 MAGIC = "WARC/1.1\r\n"
@@ -111,7 +112,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
 
     A piece's offset is the sum of the sizes before it: of the blocks before, and of the block's pieces before.
     """
-    pieces = stored(_raw(spark, path).mapInArrow(_pieces, _PIECE), "pieces")
+    pieces = stored(_raw(spark, path).mapInArrow(lean(_pieces), _PIECE), "pieces")
     blocks = pieces.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("start", F.coalesce(F.sum("bytes").over(before), F.lit(0))).select("file", "block", "start")
@@ -205,14 +206,14 @@ def payload_spans(spark: SparkSession, path: str, split: DataFrame) -> DataFrame
             number += n
 
     files = split.select("file").distinct()
-    pieces = _raw(spark, path).mapInArrow(numbered, "file string, block long, number long, value binary").join(files, "file", "left_semi").withColumn("size", F.length("value") + len(MAGIC))
+    pieces = _raw(spark, path).mapInArrow(lean(numbered), "file string, block long, number long, value binary").join(files, "file", "left_semi").withColumn("size", F.length("value") + len(MAGIC))
     blocks = pieces.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("start", F.coalesce(F.sum("bytes").over(before), F.lit(0))).select("file", "block", "start")
     own = Window.partitionBy("file", "block").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     placed = pieces.join(blocks, ["file", "block"]).withColumn("place", F.col("start") + F.coalesce(F.sum("size").over(own), F.lit(0)) - len(MAGIC))
     within = placed.select("file", "place", "value").join(split.select("file", "at", "next"), "file").where("place >= at AND place < next")
-    return within.groupBy("file", "at").agg(F.collect_list(F.struct(F.col("place").alias("at"), "value")).alias("pieces")).mapInArrow(digest, "file string, at long, sha1 string, bytes long")
+    return within.groupBy("file", "at").agg(F.collect_list(F.struct(F.col("place").alias("at"), "value")).alias("pieces")).mapInArrow(lean(digest), "file string, at long, sha1 string, bytes long")
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
