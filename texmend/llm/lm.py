@@ -23,11 +23,13 @@ from .text import LOWER, RangeHash, chunks, lean, word_bounds
 from .work import stored
 
 SIZE, NOISE, OWN_NOISE, BATCH, RATE = 16, 64, 8, 4096, 0.1
+#: Rows of one matrix of logits, so that it stays in the processor's cache.
+ROWS = 512
 #: Occurrences in the training texts that give a word vectors of its own, and words that are a class each.
-LEAST, HEAD = 20, 500
+LEAST, HEAD = 20, 250
 #: Words whose counts go to every task, at most; the others are joined.
 COMMON = 400_000
-CHUNK = (1 << 20) - 1
+CHUNK = (1 << 21) - 1
 DOCS = ["CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text"]
 
 
@@ -88,8 +90,11 @@ def _scatter(p: np.ndarray, squares: np.ndarray, at: np.ndarray, grads: np.ndarr
 
 
 def _log_sum(logits: np.ndarray) -> np.ndarray:
+    """Logarithms of the rows' sums of exponentials; logits is overwritten."""
     top = logits.max(1)
-    return top + np.log(np.exp(logits - top[:, None]).sum(1))
+    logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return top + np.log(logits.sum(1))
 
 
 class LogBilinear:
@@ -197,9 +202,14 @@ class LogBilinear:
     def class_normalisers(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
         """Natural log of the sum over all classes for each of the contexts."""
         out = np.empty(len(two), np.float32)
-        for k in range(0, len(two), BATCH):
-            part = slice(k, k + BATCH)
-            out[part] = _log_sum((self.c[0] * self.r[one[part]] + self.c[1] * self.r[two[part]]) @ self.p.T + self.b)
+        p = np.ascontiguousarray(self.p.T)
+        room = np.empty((ROWS, p.shape[1]), np.float32)
+        for k in range(0, len(two), ROWS):
+            part = slice(k, k + ROWS)
+            logits = room[: len(one[part])]
+            np.matmul(self.c[0] * self.r[one[part]] + self.c[1] * self.r[two[part]], p, out=logits)
+            logits += self.b
+            out[part] = _log_sum(logits)
         return out
 
     def normalisers(self) -> np.ndarray:
@@ -224,10 +234,12 @@ class LogBilinear:
         for rows in np.split(deep, cuts) if len(deep) else ():
             first = (kind[rows[0]] - self.head - 2) * self.block
             block = slice(first, min(first + self.block, self.tail))
-            for k in range(0, len(rows), BATCH):
-                some = rows[k : k + BATCH]
-                logits = h[some] @ self.q[block].T + self.own_share[block]
-                out[some] += logits[np.arange(len(some)), symbols[some] - self.head - first] - _log_sum(logits)
+            for k in range(0, len(rows), ROWS):
+                some = rows[k : k + ROWS]
+                logits = h[some] @ self.q[block].T
+                logits += self.own_share[block]
+                own = logits[np.arange(len(some)), symbols[some] - self.head - first]
+                out[some] += own - _log_sum(logits)
         return out
 
 
