@@ -1,8 +1,8 @@
 """Language-model scores: a log-bilinear model trained with noise-contrastive estimation.
 
 The model predicts a word from the two before it: the sum of their vectors, each scaled by its position's weights, times
-the vector of the word's class, plus its bias, and likewise for the word in its class. All words with LEAST occurrences in
-the training texts have vectors of their own, so the model grows with the corpus; rarer words share one symbol and are told
+the vector of the word's class, plus its bias, and likewise for the word in its class. The commonest words, GROWTH times the root
+of the training tokens, have vectors of their own, so the model grows with the corpus; other words share one symbol and are told
 apart by their smoothed counts. Every task trains on the training texts that it reads, telling words from a sample of noise;
 a word's parameters are averaged by its tokens in each task. The normalisers over classes and over the words of a class come
 from batched matrix products, so token probabilities sum to one.
@@ -22,14 +22,16 @@ from pyspark.sql import functions as F
 from .text import LOWER, RangeHash, chunks, lean, word_bounds
 from .work import stored
 
-SIZE, NOISE, OWN_NOISE, BATCH, RATE = 16, 64, 8, 4096, 0.1
+SIZE, NOISE, OWN_NOISE, BATCH, RATE = 16, 64, 5, 4096, 0.1
 #: Rows of one matrix of logits, so that it stays in the processor's cache.
 ROWS = 512
 #: Occurrences in the training texts that give a word vectors of its own, and words that are a class each.
 LEAST, HEAD = 20, 250
+#: Words with vectors of their own, as a multiple of the root of the number of training words: tasks and driver hold the model whole.
+GROWTH = 2
 #: Words whose counts go to every task, at most; the others are joined.
 COMMON = 400_000
-CHUNK = (1 << 21) - 1
+CHUNK = (1 << 22) - 1
 DOCS = ["CAST(doc_id AS LONG) AS doc_id", "CAST(text AS STRING) AS text"]
 
 
@@ -81,7 +83,7 @@ class Symbols:
 
 def _scatter(p: np.ndarray, squares: np.ndarray, at: np.ndarray, grads: np.ndarray, rate: float) -> None:
     """One Adagrad step on the rows `at` of p, whose gradients add up where rows repeat."""
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at.astype(np.uint16) if len(p) < 1 << 16 else at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     g, own = np.add.reduceat(grads[order], first), at[first]
@@ -156,7 +158,7 @@ class LogBilinear:
         kind = self.class_of[word]
         h = self.c[0] * self.r[one] + self.c[1] * self.r[two]
         log_kn = np.log(NOISE * self.class_share).astype(np.float32)
-        sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        sig = lambda x: np.reciprocal(1 + np.exp(np.minimum(-x, 60, out=x)))
         true = (h * self.p[kind]).sum(1) + self.b[kind] - log_kn[kind]
         false = h @ self.p[noise].T + self.b[noise] - log_kn[noise]
         total = np.float32(weight.sum())
@@ -308,14 +310,14 @@ def fit(train: DataFrame, symbols_of: Symbols, share: np.ndarray) -> LogBilinear
     return model
 
 
-def _common(counts: DataFrame, most: int, needed: float = math.inf) -> tuple[np.ndarray, np.ndarray, int]:
-    """Words with at least the least count that keeps them at `most`, or with `needed`, with their counts, by hash; and that count."""
+def _common(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Words with at least the least count that keeps them at `most`, with their counts, by hash; and that count."""
     kinds = counts.groupBy("c").agg(F.count("*").alias("words"))
     #: The count of counts is small: it grows with the root of the tokens.
     rows = sorted(((r.c, r.words) for r in kinds.collect()), reverse=True)
     taken, least = 0, (rows[0][0] + 1) if rows else 1
     for c, words in rows:
-        if taken + words > most and c < needed:
+        if taken + words > most:
             break
         taken, least = taken + words, c
     own = counts.where(F.col("c") >= least).toPandas().sort_values("word")
@@ -328,18 +330,21 @@ ROW_DDL = "row long, doc_id long, held_out boolean, n_tokens long, n_known long,
 def scores(docs: DataFrame, vocabulary: int | None = None, common: int = COMMON, least: int = LEAST) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs.
 
-    The model knows all words with `least` occurrences in the training texts, or the `vocabulary` commonest where that is given.
+    The model knows the commonest words that have `least` occurrences in the training texts, GROWTH times the root of the number of
+    training words, or the `vocabulary` commonest where that is given.
     A null or empty text is one end. Rows with one doc_id are each counted and scored. Without training texts every count
     is 0, every base score 0 and the model knows ends and other words only.
     """
+    #: One thread a worker for matrix products: a task has one core.
+    docs.sparkSession.sparkContext.environment.setdefault("OPENBLAS_NUM_THREADS", "1")
     texts = docs.selectExpr(*DOCS)
     train = texts.where(~held_out())
     counts = stored(train.select("text").mapInArrow(lean(_counts), "word long, c long").groupBy("word").agg(F.sum("c").alias("c")), "counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
     n, v = totals.n + ends, totals.v + (ends > 0)
-    words, c, _ = _common(counts, common, least if vocabulary is None else math.inf)
-    top = np.lexsort((words, -c))[: (c >= least).sum() if vocabulary is None else vocabulary]
+    words, c, _ = _common(counts, common)
+    top = np.lexsort((words, -c))[: min((c >= least).sum(), int(GROWTH * math.sqrt(totals.n))) if vocabulary is None else vocabulary]
     symbols_of = Symbols(words[top])
     known = c[top]
     share = np.append(known, [totals.n - known.sum(), ends]).astype(float) + 0.5
