@@ -7,6 +7,7 @@ from texmend.functions import dialect as D
 from texmend.functions.text import positions
 from texmend.operators import diagnose
 from texmend.operators import stages as S
+from texmend.plans import reports as R
 from texmend.plans.corpus import P, Q, T
 from texmend.plans.engine import Engine, arrow
 from texmend.plans.queries import QUERIES
@@ -80,3 +81,36 @@ def test_whole_documents_and_pages(spark, tmp_path):
     assert got[1].repairs == "repair_orphan_rac" and got[1].row_outcome == "math" and got[2].repairs == "literal_escape_to_whitespace"
     out = QUERIES["heal_pages"](spark, str(tmp_path)).first()
     assert out.prepared_text == page and "F" in out.buckets.split("|") and out.row_outcome == "math"
+
+
+def test_long_and_marked_texts_survive(spark):
+    rows = [
+        ("a", "$\\alpha" + "{a}" * 20000 + "}{b}$", "assignment_question.body.rubric_steps[0].criterion"), ("b", "$1" + ",11" * 40000 + "...", "feedback"), ("c", "$\\text{" + "a" * 30000 + "____}$", "feedback"), ("d", "1" + ",11" * 30000, "feedback"),
+        ("e", "a\x01b $x\x02y$ c\x03", "feedback"), ("f", "<p>a\x01b</p>\x03a", "feedback"),
+    ]
+    df = spark.createDataFrame(rows, "dataset_row_id string, raw_text string, field_path string")
+    got = {r.dataset_row_id: r.prepared_text for r in Engine().heal(df).collect()}
+    assert got["e"] == rows[4][1] and got["f"] == rows[5][1] and got["b"] == rows[1][1]
+    assert {r.feature: r.n for r in R.profile(df, "raw_text").collect()}["has_currency_amount"] >= 1
+
+
+def test_combining_mark_is_named(spark):
+    from texmend.operators import diagnose
+
+    got = spark.createDataFrame([("x̃",)], "t string").select(diagnose.issues(F.col("t")).alias("i")).first().i
+    assert [(x.kind, x.position, x.found) for x in got] == [("combining_diacritic", 1, "U+0303")]
+
+
+def test_whole_profile_by_brute_force(spark):
+    import re
+
+    from texmend.functions import dialect as D
+
+    texts = ["eta rac{1} \\n2 ext{a}", "$x", "{{}", "alphaeta \\alpha^2", None, "", "\\n a", "beta"]
+    df = spark.createDataFrame([(t, "u" if k % 2 else "v") for k, t in enumerate(texts)], "t string, g string")
+    got = {(r.g, r.feature): r.n for r in R.profile(df, "t", by="g").collect()}
+    for g in ("u", "v"):
+        own = [t for k, t in enumerate(texts) if (k % 2 == 1) == (g == "u") and t is not None]
+        for name, p in D.PROFILE.items():
+            assert got[g, name] == sum(bool(re.search(p, t)) for t in own), name
+    assert got["u", "unbalanced_dollar"] == 1 and got["v", "unbalanced_braces"] == 1

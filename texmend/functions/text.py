@@ -18,6 +18,25 @@ def nfc(c: Column) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F]"), composed).otherwise(c)
 
 
+MARKS = (("\u0003", "c"), ("\u0001", "a"), ("\u0002", "b"))
+
+
+def unmarked(c: Column) -> Column:
+    """c without U+0001 and U+0002, which mark cuts: they and U+0003 become U+0003 and a letter."""
+    out = c
+    for mark, letter in MARKS:
+        out = F.replace(out, F.lit(mark), F.lit("\u0003" + letter))
+    return F.when(c.rlike("[\u0001-\u0003]"), out).otherwise(c)
+
+
+def remarked(c: Column) -> Column:
+    """What unmarked() was given."""
+    out = c
+    for mark, letter in reversed(MARKS):
+        out = F.replace(out, F.lit("\u0003" + letter), F.lit(mark))
+    return F.when(c.contains("\u0003"), out).otherwise(c)
+
+
 def unescaped_dollars(c: Column) -> Column:
     return F.length(F.regexp_replace(c, r"(?s)\\.|[^$]", "")).cast("int")
 

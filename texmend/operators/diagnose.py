@@ -16,6 +16,12 @@ def _issues(kind: str, c: Column, pattern: str, suggested: str | None = None) ->
     return F.zip_with(positions(c, pattern), own, lambda p, m: F.struct(F.lit(kind).alias("kind"), p.alias("position"), m.alias("found"), F.lit(suggested).cast("string").alias("suggested")))
 
 
+def _marks(c: Column) -> Column:
+    """combining_diacritic issues; found names the code point."""
+    found = F.transform(_issues("combining_diacritic", c, D.COMBINING), lambda s: s.withField("found", F.format_string("U+%04X", F.ascii(s["found"]))))
+    return found
+
+
 def brace_issues(c: Column) -> Column:
     """extra_closing_brace where the stack is empty, then missing_closing_brace for each opening left."""
     masked = F.regexp_replace(c, r"(?s)\\.", "  ")
@@ -35,7 +41,7 @@ def issues(c: Column) -> Column:
     last = F.length(c) - F.locate("$", F.reverse(masked))
     dollar = F.when(unescaped_dollars(c) % 2 == 1, F.array(F.struct(F.lit("unbalanced_dollar").alias("kind"), last.cast("int").alias("position"), F.lit("$").alias("found"), F.lit("$").alias("suggested")))).otherwise(F.array().cast("array<struct<kind:string,position:int,found:string,suggested:string>>"))
     orphans = [_issues(f"orphan_{n}", c, p, s) for n, p, s in ORPHANS]
-    return F.concat(brace_issues(c), dollar, *orphans, _issues("combining_diacritic", c, D.COMBINING), _issues("fill_blank_subscript_run", c, "_{3,}"), _issues("forbidden_command", c, r"\\(?:" + "|".join(D.DIAGNOSED) + r")\b"))
+    return F.concat(brace_issues(c), dollar, *orphans, _marks(c), _issues("fill_blank_subscript_run", c, "_{3,}"), _issues("forbidden_command", c, r"\\(?:" + "|".join(D.DIAGNOSED) + r")\b"))
 
 
 def context(c: Column, position: Column, width: int = 28) -> Column:

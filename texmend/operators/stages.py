@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import dialect as D
-from ..functions.text import net_braces, strip, unescaped_dollars
+from ..functions.text import net_braces, remarked, strip, unescaped_dollars, unmarked
 
 OPENERS = (("$$", "math_display"), ("$", "math_inline"), ("\\(", "math_paren"), ("\\[", "math_bracket"))
 
@@ -20,9 +20,8 @@ def names(*found: tuple[Column, str]) -> Column:
 
 def tokenize(c: Column) -> Column:
     """Segments (kind, content, start, end): text and math by leftmost delimiters; blank math is text and joins its neighbours."""
-    safe = F.regexp_replace(c, "[\u0001\u0002]", " ")
-    marked = F.replace(F.regexp_replace(safe, D.TOKENS, "\u0001$2\u0002$1$3"), F.lit("\u0001\u0002"), F.lit(""))
-    parts = F.split(marked, "[\u0001\u0002]", -1)
+    marked = F.replace(F.regexp_replace(unmarked(c), D.TOKENS, "\u0001$2\u0002$1$3"), F.lit("\u0001\u0002"), F.lit(""))
+    parts = F.transform(F.split(marked, "[\u0001\u0002]", -1), remarked)
     step = lambda a, p: F.struct(F.array_append(a["out"], F.struct((a["n"] % 2 == 1).alias("math"), p.alias("whole"), a["at"].alias("start"), (a["at"] + F.length(p)).alias("end"))).alias("out"), (a["n"] + 1).alias("n"), (a["at"] + F.length(p)).alias("at"))
     start = F.struct(F.array().cast("array<struct<math:boolean,whole:string,start:int,end:int>>").alias("out"), F.lit(0).alias("n"), F.lit(0).alias("at"))
     pieces = F.filter(F.aggregate(parts, start, step, lambda a: a["out"]), lambda p: p["whole"] != "")
@@ -69,9 +68,9 @@ def wrap(c: Column, prior: Column, threshold: float = 0.5) -> Column:
 
 
 def literal_escapes(c: Column) -> Column:
-    c = F.regexp_replace(c, r"(?Ud)\\n(?=[A-Z]|\s|$)", "\n")
-    c = F.regexp_replace(c, r"(?Ud)\\t(?=\s|$)", "\t")
-    return F.regexp_replace(c, r"(?Ud)\\r(?=\s|$)", "\r")
+    c = F.regexp_replace(c, D.ESCAPED_NEWLINE, "\n")
+    c = F.regexp_replace(c, D.ESCAPED_TAB, "\t")
+    return F.regexp_replace(c, D.ESCAPED_RETURN, "\r")
 
 
 def diacritics(c: Column) -> Column:
@@ -81,8 +80,8 @@ def diacritics(c: Column) -> Column:
 def fill_blanks(c: Column) -> Column:
     r"""The first run of three or more underscores in each \text{} becomes a rule of at most 6 em."""
     for k in (3, 4, 5):
-        c = F.regexp_replace(c, r"\\text\{((?:(?!_{3})[^{}])*)_{%d}(?!_)([^{}]*)\}" % k, r"\\text{$1\\rule{%dem}{0.4pt}$2}" % k)
-    return F.regexp_replace(c, r"\\text\{((?:(?!_{3})[^{}])*)_{6,}([^{}]*)\}", r"\\text{$1\\rule{6em}{0.4pt}$2}")
+        c = F.regexp_replace(c, D.TEXT_BLANK + r"_{%d}(?!_)([^{}]*)\}" % k, r"\\text{$1\\rule{%dem}{0.4pt}$2}" % k)
+    return F.regexp_replace(c, D.TEXT_BLANK + r"_{6,}([^{}]*)\}", r"\\text{$1\\rule{6em}{0.4pt}$2}")
 
 
 def lost_frac(c: Column) -> Column:
@@ -95,11 +94,11 @@ def lost_frac(c: Column) -> Column:
 
 #: Repairs of math in order.
 MATH_REPAIRS: tuple[tuple[str, Callable[[Column], Column]], ...] = (
-    ("repair_alphaeta", lambda c: F.regexp_replace(c, r"(?U)(?<![A-Za-z\\])alphaeta" + D.WORD_END, r"\\alpha\\beta")),
+    ("repair_alphaeta", lambda c: F.regexp_replace(c, D.ALPHAETA, r"\\alpha\\beta")),
     ("repair_orphan_eta_to_beta", lambda c: F.regexp_replace(c, D.ORPHAN_ETA, r"\\beta")),
     ("repair_orphan_greek", lambda c: F.regexp_replace(c, D.ORPHAN_GREEK, r"\\$1")),
-    ("repair_orphan_rac", lambda c: F.regexp_replace(c, r"(?<![A-Za-z\\])rac(\{[^{}]*\}\{[^{}]*\})", r"\\frac$1")),
-    ("repair_orphan_ext", lambda c: F.regexp_replace(c, r"(?<![A-Za-z\\])ext(\{[^{}]*\})", r"\\text$1")),
+    ("repair_orphan_rac", lambda c: F.regexp_replace(c, D.ORPHAN_RAC, r"\\frac$1")),
+    ("repair_orphan_ext", lambda c: F.regexp_replace(c, D.ORPHAN_EXT, r"\\text$1")),
     ("repair_fill_blank_in_text", fill_blanks),
     ("repair_missing_frac_prefix", lost_frac),
 )

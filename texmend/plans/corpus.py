@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +35,21 @@ T: tuple[tuple[str | None, str | None, str, str, str, str, str, str, int], ...]
     ("$lambda = \\mu^{n}$", P, "rubric_criterion", "$\\lambda = \\mu^{n}$", "math", "D", "repair_orphan_greek", "", 1),
     ("$ext{cm}^{n} = \\pi$", P, "rubric_criterion", "$\\text{cm}^{n} = \\pi$", "math", "D", "repair_orphan_ext", "", 1),
 )
+#: More templates: a REP1 and a REP2 case, braces too deep or surplus, unknown tags, marks that the engine uses itself, a literal line break.
+T += (
+    ("cafe\u0301 {n}", Q, "feedback", "caf\u00e9 {n}", "text", "Z", "nfc_normalize", "", 1),
+    ("$x\u0303 = {n}$", Q, "feedback", "$x = {n}$", "math", "D", "strip_combining_diacritics", "", 1),
+    ("$" + "{" * 33 + "{n}" + "}" * 33 + "$", Q, "feedback", "$" + "{" * 33 + "{n}" + "}" * 33 + "$", "fallback", "B", "", "brace_depth_exceeded", 1),
+    ("$x}{n}{$", Q, "feedback", "$x}{n}{$", "fallback", "B", "", "unbalanced_close_brace", 1),
+    ("a\x01b $x\x02y^{n}$ c\x03", Q, "feedback", "a\x01b $x\x02y^{n}$ c\x03", "math", "G", "", "", 3),
+    ("one {n}\\n2 two", Q, "feedback", "one {n}\\n2 two", "text", "L", "", "", 1),
+)
 COLUMNS = ("raw", "path", "family", "prepared", "outcome", "buckets", "repairs", "reasons", "segments")
 CATEGORIES, TENANTS = 4, 12
 
 
 def rows(spark: SparkSession, sf_dir: str, table: str = "documents", key: str = "doc_id") -> DataFrame:
-    """dataset_row_id, row_no, tenant, category, ui_surface, field_path, raw_text for each row of a table."""
+    """dataset_row_id, row_no, tenant, category, ui_surface, field_path, raw_text and expected_outcome, expected_buckets, expected_repairs, expected_prepared for each row of a table."""
     n = F.expr(key).cast("long")
     which = F.pmod(n, F.lit(len(T))).cast("int") + 1
     pick = lambda k: F.element_at(F.array(*(F.lit(t[k]) for t in T)), which)
@@ -46,11 +57,12 @@ def rows(spark: SparkSession, sf_dir: str, table: str = "documents", key: str =
         F.concat(F.lit("latex-"), F.lpad(n.cast("string"), 7, "0")).alias("dataset_row_id"), n.alias("row_no"), F.concat(F.lit("tenant_"), F.lpad((n % TENANTS + 1).cast("string"), 3, "0")).alias("tenant"),
         F.concat(F.lit("category_"), (n % CATEGORIES).cast("string")).alias("category"), F.when(n % 3 == 0, "feedback").when(n % 3 == 1, "question_body").otherwise("student_answer").alias("ui_surface"),
         pick(1).alias("field_path"), F.replace(pick(0), F.lit("{n}"), n.cast("string")).alias("raw_text"),
+        pick(4).alias("expected_outcome"), F.split(pick(5), "\\|").alias("expected_buckets"), F.filter(F.split(pick(6), "\\|"), lambda x: x != "").alias("expected_repairs"), F.replace(pick(3), F.lit("{n}"), n.cast("string")).alias("expected_prepared"),
     )
 
 
 def _sql(value: str | int | None) -> str:
-    return "NULL" if value is None else str(value) if isinstance(value, int) else "'" + value.replace("'", "''") + "'"
+    return "NULL" if value is None else str(value) if isinstance(value, int) else " || ".join("'" + p.replace("'", "''") + "'" if p > "\x03" or not p else f"chr({ord(p)})" for p in re.split("([\x01-\x03])", value))
 
 
 #: DuckDB: h has what is known of each row.

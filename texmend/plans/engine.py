@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dialect as D
-from ..functions.text import escape_html, family, nfc, prior, strip, unescaped_dollars
+from ..functions.text import escape_html, family, nfc, prior, remarked, strip, unescaped_dollars, unmarked
 from ..operators import stages as S
 
 Repair = tuple[str, Callable[[Column], Column]]
@@ -20,7 +20,6 @@ class Engine:
     """Settings and plug-ins. A plug-in repair is (name, Column to Column); `str -> str` functions go through arrow()."""
 
     repair_threshold: float = 0.7
-    math_threshold: float = 0.55
     inside_boost: float = 0.6
     family_weight: float = 0.15
     wrap_threshold: float = 0.5
@@ -42,7 +41,7 @@ class Engine:
     # Segments
 
     def _chunks(self, text: Column, is_html: Column) -> Column:
-        cut = F.filter(F.split(F.regexp_replace(text, D.HTML_TAG, "\u0001$0\u0001"), "\u0001", -1), lambda x: x != "")
+        cut = F.transform(F.filter(F.split(F.regexp_replace(unmarked(text), D.HTML_TAG, "\u0001$0\u0001"), "\u0001", -1), lambda x: x != ""), remarked)
         return F.when(is_html, cut).otherwise(F.array(text))
 
     def _global(self, chunk: Column, p: Column, is_html: Column) -> Column:
@@ -142,9 +141,9 @@ class Engine:
         math = some(lambda s: s["outcome"] == "math")
         tests = [
             (why(lambda r: r.contains("brace") & ~r.startswith("forbidden_command")), "B"), (unescaped_dollars(text) % 2 == 1, "C"), (some(lambda s: flag(F.size(s["signals"]["corruption"]) > 0)), "D"), (why(lambda r: r.startswith("forbidden_command")), "E"),
-            (some(lambda s: (s["kind"] == "html") | flag(s["signals"]["html"])) | text.rlike(r"(?iU)<(table|thead|tbody|tr|td|th)\b"), "F"), (math & some(lambda s: (s["outcome"] == "text") & (strip(s["original"]) != "")), "G"), (why(lambda r: r == "subscript_run_too_long"), "H"),
-            (text.rlike(r"(?i)```|<pre>|<code>") | text.rlike(r"`[^`\n]+`"), "I"), (text.rlike(r"(?Ud)^\s*\$\s*\d+(?:[,.]\d+)?\s*[A-Za-z]{0,15}\s*$") | (~math & text.rlike(r"(?U)\$\s*\d")), "J"),
-            (some(lambda s: (s["outcome"] == "math") & s["repaired"].rlike(r"\\text\{[^}]*\\(sqrt|frac|alpha|beta|gamma)")), "K"), (text.rlike(r"\\n[^a-zA-Z]"), "L"),
+            (some(lambda s: (s["kind"] == "html") | flag(s["signals"]["html"])) | text.rlike(D.TABLE_TAG), "F"), (math & some(lambda s: (s["outcome"] == "text") & (strip(s["original"]) != "")), "G"), (why(lambda r: r == "subscript_run_too_long"), "H"),
+            (text.rlike(D.CODE_FENCE) | text.rlike(D.CODE_SPAN), "I"), (text.rlike(D.CURRENCY_ROW) | (~math & text.rlike(D.CURRENCY_ANYWHERE)), "J"),
+            (some(lambda s: (s["outcome"] == "math") & s["repaired"].rlike(D.NESTED_TEXT)), "K"), (text.rlike(D.LITERAL_NEWLINE), "L"),
         ]
         found = F.array_sort(F.array_distinct(F.array_compact(F.concat(by_repair, S.names(*tests)))))
         return F.when(F.size(found) == 0, F.array(F.lit("Z"))).otherwise(found)

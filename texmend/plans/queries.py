@@ -48,7 +48,7 @@ _on_healed("heal_buckets", "SELECT dataset_row_id, buckets FROM h", lambda h: h.
 _on_healed("heal_repairs", "SELECT dataset_row_id, repairs FROM h", lambda h: h.select("dataset_row_id", join("repairs_applied").alias("repairs")))
 _on_healed("heal_reasons", "SELECT dataset_row_id, reasons FROM h", lambda h: h.select("dataset_row_id", join("failure_reasons").alias("reasons")))
 _on_healed("segment_count", "SELECT dataset_row_id, CAST(segments AS BIGINT) AS n FROM h", lambda h: h.select("dataset_row_id", long(F.size("segments")).alias("n")))
-_add("heal_idempotence", KNOWN + "SELECT count(*) AS n, CAST(0 AS BIGINT) AS changed FROM h WHERE outcome <> 'fallback'", lambda spark, d: _twice(healed(spark, d)))
+_add("heal_idempotence", KNOWN + "SELECT count(*) AS n, CAST(0 AS BIGINT) AS changed FROM h", lambda spark, d: _twice(healed(spark, d)))
 _add("heal_html", None, lambda spark, d: healed(spark, d).select("dataset_row_id", "html"))
 _add("segments", None, lambda spark, d: healed(spark, d).select("dataset_row_id", F.posexplode("segments").alias("no", "s")).select("dataset_row_id", "no", "s.kind", "s.original", "s.start", "s.end", "s.repaired", "s.outcome", "s.score", join("s.repairs").alias("repairs"), join("s.reasons").alias("reasons")))
 _add("signals", None, lambda spark, d: healed(spark, d).select("dataset_row_id", F.explode("segments").alias("s")).where("s.signals IS NOT NULL").select("dataset_row_id", "s.signals.known_commands", "s.signals.super", "s.signals.sub", "s.signals.operators", "s.signals.digits", join("s.signals.corruption").alias("corruption"), "s.score"))
@@ -65,7 +65,7 @@ _add("heal_pages", None, lambda spark, d: whole(spark, d, "pages", "page_id", "h
 
 
 def _twice(h: DataFrame) -> DataFrame:
-    first = h.where("row_outcome <> 'fallback'").select(F.col("prepared_text").alias("raw_text"), "field_path")
+    first = h.select(F.col("prepared_text").alias("raw_text"), "field_path")
     return Engine().heal(first).agg(F.count("*").alias("n"), F.count_if(~F.col("raw_text").eqNullSafe(F.col("prepared_text"))).alias("changed"))
 
 
@@ -88,8 +88,18 @@ _on_healed("top_repairs", "SELECT repair, n, round(n / max(n) OVER (), 4) AS bar
 _on_healed("longest_first", "SELECT dataset_row_id, CAST(length(raw_text) AS BIGINT) AS len FROM h WHERE raw_text IS NOT NULL ORDER BY len DESC, row_no LIMIT 200", lambda h: h.where("raw_text IS NOT NULL").select("dataset_row_id", "row_no", long(F.length("raw_text")).alias("len")).orderBy(F.desc("len"), "row_no").limit(200).drop("row_no"))
 _on_healed("telemetry_counters", "SELECT family, outcome, repair, count(*) AS n FROM (SELECT family, outcome, unnest(string_split(repairs, '|')) AS repair FROM h WHERE repairs <> '') GROUP BY ALL", lambda h: h.select("family", F.col("row_outcome").alias("outcome"), F.explode("repairs_applied").alias("repair")).groupBy("family", "outcome", "repair").agg(F.count("*").alias("n")))
 _on_healed("positional_join", "SELECT row_no, outcome, category FROM h", lambda h: R.paired(h.select("row_no", F.col("row_outcome").alias("outcome")), h.select("row_no", "category")))
-_on_healed("predicted_errors", r"SELECT CASE WHEN reason LIKE 'forbidden_command:%' THEN 'Undefined control sequence: \' || split_part(reason, ':', 2) WHEN reason = 'subscript_run_too_long' THEN 'Expected group after ''_''' ELSE 'Expected ''}'' at end of input' END AS message, count(*) AS n FROM (SELECT unnest(string_split(reasons, '|')) AS reason FROM h WHERE reasons <> '') GROUP BY ALL", lambda h: R.exploded_counts(h.select(F.transform("failure_reasons", diagnose.predicted_error).alias("m")), "m", "message"))
-_on_healed("bucket_recall", "SELECT label, count(*) AS n, 1.0::DOUBLE AS recall FROM (SELECT unnest(string_split(buckets, '|')) AS label FROM h) GROUP BY ALL", lambda h: R.recall(h, "buckets", "buckets"))
+_on_healed("predicted_errors", r"SELECT CASE WHEN reason LIKE 'forbidden_command:%' THEN 'Undefined control sequence: \' || split_part(reason, ':', 2) WHEN reason = 'subscript_run_too_long' THEN 'Expected group after ''_''' WHEN reason = 'brace_depth_exceeded' THEN '(too deeply nested — KaTeX maxExpand limit)' ELSE 'Expected ''}'' at end of input' END AS message, count(*) AS n FROM (SELECT unnest(string_split(reasons, '|')) AS reason FROM h WHERE reasons <> '') GROUP BY ALL", lambda h: R.exploded_counts(h.select(F.transform("failure_reasons", diagnose.predicted_error).alias("m")), "m", "message"))
+_on_healed("bucket_recall", "SELECT label, count(*) AS n, 1.0::DOUBLE AS recall FROM (SELECT unnest(string_split(buckets, '|')) AS label FROM h) GROUP BY ALL", lambda h: R.recall(h, "expected_buckets", "buckets"))
+
+_on_healed("repair_recall", "SELECT label, count(*) AS n, 1.0::DOUBLE AS recall FROM (SELECT unnest(string_split(repairs, '|')) AS label FROM h WHERE repairs <> '') GROUP BY ALL", lambda h: R.recall(h, "expected_repairs", "repairs_applied"))
+_on_healed("outcome_confusion", "SELECT outcome AS expected, count(*) FILTER (outcome = 'math') AS math, count(*) FILTER (outcome = 'fallback') AS fallback, count(*) FILTER (outcome = 'text') AS text FROM h GROUP BY ALL", lambda h: R.confusion(h, "expected_outcome", "row_outcome", ["math", "fallback", "text"]))
+_on_healed("full_match", "SELECT category, count(*) AS n, count(*) AS matched FROM h GROUP BY ALL", lambda h: R.full_match(h.withColumn("expected_no_repairs", F.array().cast("array<string>"))).groupBy("category").agg(F.count("*").alias("n"), F.count_if("full_ok").alias("matched")))
+_on_healed("fallbacks_by_reason", "SELECT reason, n, keys FROM (SELECT reasons AS reason, count(*) AS n, array_to_string(list_slice(list(row_no ORDER BY row_no), 1, 10), '|') AS keys FROM h WHERE reasons <> '' GROUP BY ALL)", R.by_reason)
+_on_healed("recovery_by_surface", "SELECT ui_surface, n, repaired, recovered, fallbacks, round(100 * repaired / n, 2) AS repaired_pct, round(100 * recovered / n, 2) AS recovered_pct, round(100 * fallbacks / n, 2) AS fallbacks_pct FROM (SELECT ui_surface, count(*) AS n, count(*) FILTER (repairs <> '') AS repaired, count(*) FILTER (repairs <> '' AND outcome <> 'fallback') AS recovered, count(*) FILTER (outcome = 'fallback') AS fallbacks FROM h GROUP BY ALL)", lambda h: R.recovery(h, "ui_surface"))
+_on_rows("text_lengths", "SELECT category, count(*) AS n, CAST(sum(l) AS BIGINT) AS total, min(l) AS least, max(l) AS most, round(avg(l), 4) AS mean FROM (SELECT category, CAST(length(coalesce(raw_text, '')) AS BIGINT) AS l FROM h) GROUP BY ALL", lambda r: R.lengths(r, "category"))
+_on_rows("first_rows", "SELECT dataset_row_id, row_no FROM h ORDER BY row_no LIMIT 25", lambda r: R.limited(r, "row_no", 25).select("dataset_row_id", "row_no"))
+_on_rows("category_filter", "SELECT dataset_row_id FROM h WHERE category IN ('category_1', 'category_3')", lambda r: R.of_categories(r, ("category_1", "category_3")).select("dataset_row_id"))
+_add("segment_kinds", None, lambda spark, d: R.segment_counts(healed(spark, d)))
 
 # Rows of the corpus and the driver's tables
 _on_rows("family_of", "SELECT dataset_row_id, family FROM h", lambda r: Engine().heal(r).select("dataset_row_id", "family"))
@@ -103,6 +113,8 @@ _add("issues", None, lambda spark, d: rows(spark, d).select("dataset_row_id", "r
 _plain = {k: p for k, p in D.PROFILE.items() if "(?<!" not in p and "(?!" not in p}
 _on("pattern_profile", "pages", " UNION ALL ".join(f"SELECT '{k}' AS feature, count(*) FILTER (regexp_matches(html, '{p}')) AS n, round(100 * count(*) FILTER (regexp_matches(html, '{p}')) / count(*), 2) AS pct FROM pages" for k, p in _plain.items()), lambda t: R.profile(t, "html", _plain))
 _on("pattern_profile_documents", "documents", " UNION ALL ".join(f"SELECT '{k}' AS feature, count(*) FILTER (regexp_matches(text, '{p}')) AS n, round(100 * count(*) FILTER (regexp_matches(text, '{p}')) / count(*), 2) AS pct FROM documents" for k, p in _plain.items()), lambda t: R.profile(t, "text", _plain))
+_add("pattern_profile_whole", None, lambda spark, d: R.profile(spark.read.parquet(f"{d}/pages.parquet"), "html"))
+_add("pattern_profile_by_lang", None, lambda spark, d: R.profile(spark.read.parquet(f"{d}/documents.parquet"), "text", by="lang"))
 _on_healed("outcome_counts", "SELECT outcome, count(*) AS n FROM h GROUP BY ALL", lambda h: h.groupBy(F.col("row_outcome").alias("outcome")).agg(F.count("*").alias("n")))
 
 

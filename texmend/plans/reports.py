@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dialect as D
+from ..functions.text import net_braces, unescaped_dollars
 
 
 def status(error: Column | None = None) -> Column:
@@ -13,6 +14,41 @@ def status(error: Column | None = None) -> Column:
     return out if error is None else F.when(error.isNotNull(), "pipeline_error").otherwise(out)
 
 
+def limited(df: DataFrame, order: str, n: int | None) -> DataFrame:
+    """The first n rows by order, or all."""
+    return df if n is None else df.orderBy(order).limit(n)
+
+
+def of_categories(df: DataFrame, categories: tuple[str, ...] = D.BROKEN_CATEGORIES) -> DataFrame:
+    return df.where(F.col("category").isin(*categories))
+
+
+def lengths(df: DataFrame, by: str, text: str = "raw_text") -> DataFrame:
+    """n, total, least, most and mean length of texts by a column; null texts count 0."""
+    n = F.length(F.coalesce(text, F.lit(""))).cast("long")
+    return df.groupBy(by).agg(F.count("*").alias("n"), F.sum(n).alias("total"), F.min(n).alias("least"), F.max(n).alias("most"), F.round(F.avg(n), 4).alias("mean"))
+
+
+def segment_counts(df: DataFrame) -> DataFrame:
+    """Segments by kind and outcome."""
+    return df.select(F.explode("segments").alias("s")).groupBy(F.col("s.kind").alias("kind"), F.col("s.outcome").alias("outcome")).agg(F.count("*").alias("n"))
+
+
+def by_reason(df: DataFrame, key: str = "row_no", most: int = 10) -> DataFrame:
+    """For each failure reason its rows and the `most` smallest keys."""
+    rows = df.select(key, F.explode(F.array_distinct("failure_reasons")).alias("reason"))
+    ranked = rows.withColumn("rn", F.row_number().over(Window.partitionBy("reason").orderBy(key))).where(F.col("rn") <= most)
+    keys = ranked.groupBy("reason").agg(F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda x: x.cast("string")), "|").alias("keys"))
+    return rows.groupBy("reason").agg(F.count("*").alias("n")).join(keys, "reason")
+
+
+def recovery(df: DataFrame, by: str) -> DataFrame:
+    """By a column: rows, rows repaired, rows repaired that render, and fallbacks, with their percentages of the rows."""
+    fixed = F.size("repairs_applied") > 0
+    out = df.groupBy(by).agg(F.count("*").alias("n"), F.count_if(fixed).alias("repaired"), F.count_if(fixed & ~F.col("had_fallback")).alias("recovered"), F.count_if(F.col("had_fallback")).alias("fallbacks"))
+    return out.select("*", *(F.round(100 * F.col(c) / F.col("n"), 2).alias(f"{c}_pct") for c in ("repaired", "recovered", "fallbacks")))
+
+
 def totals(df: DataFrame) -> DataFrame:
     """n_rows, n_math, n_fallback, n_repair and the rates, 0 for no rows; the quality gate is fallback_rate < 0.05."""
     n = F.count("*")
@@ -49,9 +85,13 @@ def primary_reason(df: DataFrame) -> DataFrame:
 
 def first_and_last(df: DataFrame, group: Column, order: str, most: int = 10, ends: int = 5) -> DataFrame:
     """All rows of groups of at most `most`, else the first and last `ends` of them."""
-    ranked = df.withColumn("group", group).withColumn("rn", F.row_number().over(Window.partitionBy("group").orderBy(order)))
-    sizes = ranked.groupBy("group").agg(F.count("*").alias("size"))
-    return ranked.join(sizes, "group").where((F.col("size") <= most) | (F.col("rn") <= ends) | (F.col("rn") > F.col("size") - ends))
+    own = df.withColumn("group", group)
+    #: Ranks up to `most` only, from either side, so that Spark cuts each group before its shuffle.
+    ranked = lambda o, n: own.withColumn("rn", F.row_number().over(Window.partitionBy("group").orderBy(o))).where(F.col("rn") <= n).drop("rn")
+    small = own.groupBy("group").agg(F.count("*").alias("size")).where(F.col("size") <= most).select("group")
+    few = ranked(order, most).join(small, "group", "left_semi")
+    large = ranked(order, ends).unionByName(ranked(F.desc(order), ends)).join(small, "group", "left_anti")
+    return few.unionByName(large)
 
 
 def stratified(df: DataFrame, key: str, strata: list[str], each: int, most: int, seed: str = "7") -> DataFrame:
@@ -80,11 +120,21 @@ def top(df: DataFrame, name: str, n: int) -> DataFrame:
     return cut.withColumn("bar", F.round(F.col("n") / F.max("n").over(Window.partitionBy()), 4))
 
 
-def profile(df: DataFrame, text: str, patterns: dict[str, str] | None = None) -> DataFrame:
-    """Rows that match each pattern, and their percentage, in one pass."""
-    own = patterns or D.PROFILE
-    out = df.agg(F.count("*").alias("rows"), *(F.count_if(F.col(text).rlike(p)).alias(k) for k, p in own.items()))
-    return out.unpivot("rows", list(own), "feature", "n").select("feature", "n", F.when(F.col("rows") > 0, F.round(100 * F.col("n") / F.col("rows"), 2)).otherwise(0.0).alias("pct"))
+def features(text: Column, patterns: dict[str, str] | None = None) -> dict[str, Column]:
+    """Whether each pattern matches, and, of the whole profile, whether dollars and braces don't balance. Of a null text none holds."""
+    own = {k: F.coalesce(text.rlike(p), F.lit(False)) for k, p in (patterns or D.PROFILE).items()}
+    if patterns is None:
+        own["unbalanced_dollar"] = F.coalesce(unescaped_dollars(text) % 2 == 1, F.lit(False))
+        own["unbalanced_braces"] = F.coalesce(net_braces(text) != 0, F.lit(False))
+    return own
+
+
+def profile(df: DataFrame, text: str, patterns: dict[str, str] | None = None, by: str | None = None) -> DataFrame:
+    """Rows with each feature, and their percentage, in one pass; by: of each value of that column."""
+    own = features(F.col(text), patterns)
+    keys = [by] if by else []
+    out = df.groupBy(*keys).agg(F.count("*").alias("rows"), *(F.count_if(c).alias(k) for k, c in own.items()))
+    return out.unpivot(["rows", *keys], list(own), "feature", "n").select(*keys, "feature", "n", F.when(F.col("rows") > 0, F.round(100 * F.col("n") / F.col("rows"), 2)).otherwise(0.0).alias("pct"))
 
 
 def recall(df: DataFrame, expected: str, actual: str) -> DataFrame:
