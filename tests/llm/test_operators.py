@@ -440,3 +440,39 @@ def test_long_white_space_is_tokenised_whole(spark):
     assert len(shards._encode(encoder, "a" + " " * 1_500_000 + "b")) > 2
     docs = spark.createDataFrame([(1, " " * 1_200_000), (2, None)], "doc_id long, text string")
     assert shards.materialised(docs).where("doc_id = 1").count() >= 1
+
+
+def test_near_beyond_sixty_four_words():
+    text = "alpha " + "x " * 100 + "beta"
+    batch = pa.RecordBatch.from_arrays([pa.array(["beta " + "y " * 5, text, "alpha z"])], names=["text"])
+    from texmend.llm.text import utf8
+
+    data, at = utf8(batch.column("text"))
+    terms, words_at = decontaminate.term_hashes(data, at)
+    n = np.diff(words_at)
+    place = np.arange(len(terms)) + np.repeat(np.arange(len(n)) * decontaminate.GAP, n)
+    order = np.argsort(terms, kind="stable")
+    term, place = terms[order], place[order]
+    first = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+    edges = np.append(first, len(term))
+    steps = [np.diff(place[a:b], prepend=0).astype(np.int32).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    head = np.concatenate([np.arange(3), np.ones(3, np.int64), n]).astype(np.int64).tobytes()
+    rows = pd.DataFrame({"head": [True] + [False] * len(first), "term": np.append(0, term[first]), "n": np.append(3, np.diff(edges)), "places": [head, *steps]})
+    found = decontaminate.Segment(rows)
+    wanted, _ = decontaminate.term_hashes(*utf8(pa.array(["alpha beta"])))
+    assert len(found.near(wanted, 100)) == 0 and len(found.near(wanted, 101)) == 1 and len(found.near(wanted, 10**6)) == 1
+
+
+def test_null_and_large_item_ids(spark):
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "w " * 3000)], "doc_id long, text string")
+    items = spark.createDataFrame([(9007199254740993, "one two three"), (None, "three four"), (5, "w " * 3000)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.contamination(docs, items).collect()}
+    sha = lambda *x: hashlib.sha256(",".join(sorted(x)).encode()).hexdigest()
+    assert got[1].items_sha256 == sha("9007199254740993", "null") and got[1].n_hit == 4
+    assert got[2].n_hit == 3000 and got[2].n_items == 1
+
+
+def test_mixing_without_ids_comes_near_targets(spark):
+    docs = spark.createDataFrame([(None, f"w{k} a b c", "x" if k % 2 else "y") for k in range(400)], "doc_id long, text string, source string")
+    for r in mixing.mixing(docs).selectExpr("source", "target", "size * copies AS taken").groupBy("source", "target").sum("taken").collect():
+        assert abs(r[2] - r.target) <= 0.2 * r.target

@@ -42,3 +42,9 @@ def test_round_trip(spark, split):
 
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_hostile_lengths(spark):
+    html = ["x WARC/1.1\r\nContent-Length: " + n + "\r\n\r\nbody" for n in ("99999999999999999999", "²", "9" * 5000, "-1", "")]
+    pages = spark.createDataFrame([(k, f"http://x/{k}", h) for k, h in enumerate(html)], "page_id long, url string, html string")
+    assert {r.page_id: r.payload_bytes for r in warc.round_trip(pages).collect()} == {k: len(h.encode()) for k, h in enumerate(html)}

@@ -79,9 +79,14 @@ class Segment:
         steps = np.frombuffer(b"".join(lists.places), np.int32).astype(np.int64)
         total = np.cumsum(steps)
         self.places = total - np.repeat((total - steps)[self.at], self.df) if len(steps) else steps
-        #: The lists laid out by place: membership of a place in a term's list is one look.
-        self.by_place = np.full(int(self.starts[-1] + self.n_words[-1]) + GAP + 1 if len(self.ids) else 1, -1, np.int64)
-        self.by_place[self.places] = np.repeat(np.arange(len(self.terms)), self.df)
+        #: Postings as (list, place) in one ascending array, to intersect lists by binary search.
+        self.postings = np.repeat(np.arange(len(self.terms)), self.df) << 32 | self.places
+
+    def _holds(self, lists: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Whether each place is in its list."""
+        wanted = lists << 32 | places
+        k = np.minimum(np.searchsorted(self.postings, wanted), len(self.postings) - 1)
+        return self.postings[k] == wanted
 
     def list_of(self, terms: np.ndarray) -> np.ndarray:
         """Numbers of the terms' lists, -1 for none."""
@@ -105,8 +110,8 @@ class Segment:
         for k in range(1, windows.shape[1]):
             offset = by_rarity[which, k]
             place = start + offset
-            ok = (place >= 0) & (place < len(self.by_place))
-            ok[ok] = self.by_place[place[ok]] == lists[which[ok], offset[ok]]
+            ok = place >= 0
+            ok[ok] = self._holds(lists[which[ok], offset[ok]], place[ok])
             which, start = which[ok], start[ok]
         good = start >= 0
         return alive[which[good]], start[good]
@@ -121,14 +126,17 @@ class Segment:
         found = own(lists[0])
         for k in lists[1:]:
             other = own(k)
-            low, high = np.searchsorted(other, found - min(slop, GAP)), np.searchsorted(other, found + min(slop, GAP), "right")
+            #: Within slop, and within the text.
+            text = np.searchsorted(self.starts, found, "right") - 1
+            low = np.searchsorted(other, np.maximum(found - slop, self.starts[text]))
+            high = np.searchsorted(other, np.minimum(found + slop, self.starts[text] + self.n_words[text] - 1), "right")
             found = found[high > low]
         return found
 
 
 def _queries(items: pd.DataFrame, window: int) -> tuple[dict[int, tuple[np.ndarray, np.ndarray]], list[str]]:
-    """By phrase length: distinct windows and the item number of each; the items' ids as text."""
-    names = [("null" if pd.isna(i) else str(int(i))) for i in items.item_id]
+    """By phrase length: each item's distinct windows and the item number of each; the items' ids as text."""
+    names = [i if isinstance(i, str) else "null" for i in items.item_id]
     column = pa.array([t if isinstance(t, str) else "" for t in items.text], pa.string())
     found: dict[int, tuple[list, list]] = {}
     row = 0
@@ -139,8 +147,9 @@ def _queries(items: pd.DataFrame, window: int) -> tuple[dict[int, tuple[np.ndarr
             if len(own):
                 size = min(window, len(own))
                 rows, whose = found.setdefault(size, ([], []))
-                rows.append(np.lib.stride_tricks.sliding_window_view(own, size))
-                whose.append(np.full(len(own) - size + 1, row + k))
+                windows = np.unique(np.lib.stride_tricks.sliding_window_view(own, size), axis=0)
+                rows.append(windows)
+                whose.append(np.full(len(windows), row + k))
         row += len(words_at) - 1
     return {size: (np.concatenate(rows), np.concatenate(whose)) for size, (rows, whose) in found.items()}, names
 
@@ -168,7 +177,7 @@ def search(index: DataFrame, items: pd.DataFrame, window: int = WINDOW) -> DataF
         starts, ends, whose = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends, whose))
         n = len(s.ids)
         doc = np.searchsorted(s.starts, starts, "right") - 1
-        hit = covered(starts, ends, len(s.by_place))
+        hit = covered(starts, ends, int(ends.max()) if len(ends) else 0)
         edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
         up, down = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         run_doc = np.searchsorted(s.starts, up, "right") - 1
@@ -208,7 +217,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     BLOCK_BYTES is searched in blocks of items over the one index.
     """
     index = stored(build_index(docs), "postings")
-    items = benchmark.selectExpr("CAST(item_id AS LONG) AS item_id", "CAST(text AS STRING) AS text").distinct()
+    items = benchmark.selectExpr("CAST(CAST(item_id AS LONG) AS STRING) AS item_id", "CAST(text AS STRING) AS text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = total // BLOCK_BYTES + 1
     found = None

@@ -41,8 +41,9 @@ def targets(docs: DataFrame) -> DataFrame:
 
 
 def coin(seed: int = SEED) -> Column:
-    """A number in [0, 1) that depends on doc_id and the seed alone."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    """A number in [0, 1) that depends on doc_id, the text and the seed, so that rows without an id of their own have different coins."""
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(4294967296)
 
 
@@ -60,8 +61,8 @@ def _rated(docs: DataFrame, seed: int) -> tuple[DataFrame, list[str]]:
 def mixing(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The columns of docs and size, source_size, target, copies, which replace docs' columns of these names.
 
-    A null or empty text has size 0 and a source without words target 0 and no copies. Rows with one doc_id share
-    their coin. Sources are joined back by null-safe equality; one row a source, which Spark broadcasts by its own
+    A null or empty text has size 0 and a source without words target 0 and no copies. Rows with one doc_id and
+    one text share their coin; a null doc_id counts as an empty one. Sources are joined back by null-safe equality; one row a source, which Spark broadcasts by its own
     size check or else joins with skewed partitions split.
     """
     out, names = _rated(docs, seed)
@@ -70,20 +71,20 @@ def mixing(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """docs with each row as often as the mix takes it."""
+    """docs with each row as often as the mix takes it: nulls, empty and repeated rows as in mixing(); an empty table gives none."""
     out, names = _rated(docs, seed)
     return out.where(F.col(names[3]) >= 1).withColumn(names[0], F.explode(F.sequence(F.lit(1), F.col(names[3]).cast("int")))).select(*docs.columns)
 
 
 #: The same in DuckDB.
 SQL = r"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, md5(coalesce(text, '')) AS text_md5 FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY encode(source) ASC NULLS LAST) - 1) % 3 AS INT) + 1] AS BIGINT) AS weight, 3 * source_size AS cap FROM s),
 r AS (SELECT *, CAST(sum(source_size) OVER () AS BIGINT) - CAST(coalesce(sum(cap) OVER b, 0) AS BIGINT) AS rest, CAST(sum(weight) OVER () AS BIGINT) - CAST(coalesce(sum(weight) OVER b, 0) AS BIGINT) AS rest_weight, row_number() OVER (ORDER BY cap / weight, encode(source) ASC NULLS LAST) AS place FROM w
   WINDOW b AS (ORDER BY cap / weight, encode(source) ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 l AS (SELECT arg_min(rest, place) AS rest, arg_min(rest_weight, place) AS rest_weight FROM r WHERE cap * rest_weight >= rest * weight),
 t AS (SELECT r.source, r.source_size, CASE WHEN l.rest IS NULL THEN CAST(r.cap AS DOUBLE) ELSE least(CAST(r.cap AS DOUBLE), CAST(r.weight * l.rest AS DOUBLE) / CAST(l.rest_weight AS DOUBLE)) END AS target FROM r, l),
-c AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / CAST(t.source_size AS DOUBLE) ELSE 0.0 END AS rate, CAST(('0x' || substr(md5('17:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT) / 4294967296.0 AS coin FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+c AS (SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / CAST(t.source_size AS DOUBLE) ELSE 0.0 END AS rate, CAST(('0x' || substr(md5('17:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || d.text_md5), 1, 8)) AS BIGINT) / 4294967296.0 AS coin FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN CAST(coin AS DOUBLE) < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c
 """

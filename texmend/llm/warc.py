@@ -90,7 +90,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for value in batch.column("value"):
             raw = value.as_py()
             found = _headers(raw)
-            claimed = int(found[0].get("content-length", "")) if found and found[0].get("content-length", "").isdigit() else None
+            #: At most 18 digits, 0 to 9: no file is longer, and payloads may claim anything.
+            claimed = int(found[0]["content-length"]) if found and re.fullmatch(r"[0-9]{1,18}", found[0].get("content-length", "")) else None
             end = None if claimed is None else found[1] + claimed
             size.append(len(raw))
             length.append(None if end is None else len(MAGIC) + end + len(END))
