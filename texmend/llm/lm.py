@@ -67,12 +67,12 @@ class Symbols:
         k = np.minimum(np.searchsorted(self.words, codes), self.other - 1)
         return np.where(self.words[k] == codes, self.order[k], self.other)
 
-    def trigrams(self, codes: np.ndarray, words_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The symbols of all texts with an end after each, the two before each (ends before a text), and each text's first place."""
+    def trigrams(self, codes: np.ndarray, words_at: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The symbols of all texts with an end after each, the two before each (ends before a text), and each text's first place; own: the words' symbols, if known."""
         n = np.diff(words_at)
         rows = np.arange(len(n))
         symbols = np.full(len(codes) + len(n), self.end)
-        symbols[np.arange(len(codes)) + np.repeat(rows, n)] = self(codes)
+        symbols[np.arange(len(codes)) + np.repeat(rows, n)] = self(codes) if own is None else own
         first = words_at[:-1] + rows
         one, two = np.full(len(symbols), self.end), np.full(len(symbols), self.end)
         one[1:], two[2:] = symbols[:-1], symbols[:-2]
@@ -223,13 +223,16 @@ class LogBilinear:
         """Natural log probabilities; z: normalisers(), else those of the contexts at hand are computed."""
         n = len(self.share)
         kind = self.class_of[symbols]
-        h = self.c[0] * self.r[one] + self.c[1] * self.r[two]
+        hidden = lambda at: self.c[0] * self.r[one[at]] + self.c[1] * self.r[two[at]]
         if z is None:
             context, which = np.unique(two * n + one, return_inverse=True)
             over = self.class_normalisers(context // n, context % n)[which]
         else:
             over = z[two, one]
-        out = np.einsum("ij,ij->i", h, self.p[kind]) + self.b[kind] - over
+        out = self.b[kind] - over
+        for k in range(0, len(out), 8 * ROWS):
+            part = slice(k, k + 8 * ROWS)
+            out[part] += np.einsum("ij,ij->i", hidden(part), self.p[kind[part]])
         deep = np.flatnonzero(kind >= self.head + 2)
         deep = deep[np.argsort(kind[deep], kind="stable")]
         cuts = np.flatnonzero(np.diff(kind[deep])) + 1
@@ -238,7 +241,7 @@ class LogBilinear:
             block = slice(first, min(first + self.block, self.tail))
             for k in range(0, len(rows), ROWS):
                 some = rows[k : k + ROWS]
-                logits = h[some] @ self.q[block].T
+                logits = hidden(some) @ self.q[block].T
                 logits += self.own_share[block]
                 own = logits[np.arange(len(some)), symbols[some] - self.head - first]
                 out[some] += own - _log_sum(logits)
@@ -352,18 +355,21 @@ def scores(docs: DataFrame, vocabulary: int | None = None, common: int = COMMON,
     #: Words beyond the vocabulary: add one half over their kinds and one more.
     other = np.log10(totals.n - known.sum() + 0.5 * (totals.v - len(top) + 1))
     unit = np.log10(n + 0.5 * (v + 1))
+    #: The symbols of the common words, among which the vocabulary is.
+    symbol_of, log_count = symbols_of(words), np.log10(c + 0.5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part, data, at in chunks(batch, "text", CHUNK):
                 codes, words_at = word_codes(data, at)
-                symbols, one, two, first = symbols_of.trigrams(codes, words_at)
                 rows = np.arange(part.num_rows)
                 k = np.minimum(np.searchsorted(words, codes), max(0, len(words) - 1))
                 usual = words[k] == codes if len(words) else np.zeros(len(codes), bool)
-                logs = np.where(usual, np.log10(c[k] + 0.5), 0.0) if len(words) else np.zeros(len(codes))
-                beyond = symbols_of(codes) == symbols_of.other
+                logs = np.where(usual, log_count[k], 0.0) if len(words) else np.zeros(len(codes))
+                own = np.where(usual, symbol_of[k], symbols_of.other) if len(words) else np.full(len(codes), symbols_of.other)
+                symbols, one, two, first = symbols_of.trigrams(codes, words_at, own)
+                beyond = own == symbols_of.other
                 row = np.repeat(rows, np.diff(words_at))
                 total = lambda x, row=row: np.bincount(row, x, minlength=part.num_rows)  # noqa: B023, E731
                 likely = np.add.reduceat(model.log_probs(symbols, one, two).astype(float), first) / np.log(10)
