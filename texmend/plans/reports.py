@@ -124,8 +124,8 @@ def features(text: Column, patterns: dict[str, str] | None = None) -> dict[str,
     """Whether each pattern matches, and, of the whole profile, whether dollars and braces don't balance. Of a null text none holds."""
     own = {k: F.coalesce(text.rlike(p), F.lit(False)) for k, p in (patterns or D.PROFILE).items()}
     if patterns is None:
-        own["unbalanced_dollar"] = F.coalesce(unescaped_dollars(text) % 2 == 1, F.lit(False))
-        own["unbalanced_braces"] = F.coalesce(net_braces(text) != 0, F.lit(False))
+        own["unbalanced_dollar"] = F.coalesce(text.contains("$") & (unescaped_dollars(text) % 2 == 1), F.lit(False))
+        own["unbalanced_braces"] = F.coalesce(text.rlike("[{}]") & (net_braces(text) != 0), F.lit(False))
     return own
 
 
