@@ -385,6 +385,34 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_toxicity_measures_every_window():
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghij"), rng.integers(1, 9))) for _ in range(80)] + ["zworst", "Größe", "x1"]
+    texts = [" ".join(rng.choice(words, n)) for n in (1, 2, 3, 5, 6, 7, 8, 11, 12, 40, 500)]
+    own = [" ".join(rng.choice(words[:-3], 40)) for _ in range(60)]
+    distance = toxicity.Distance(*toxicity.train_dictionaries(own + [t + " zworst zworst" for t in own], [0] * 60 + [1] * 60))
+    for text in texts:
+        w = [x.encode() for x in text.lower().split()]
+        runs = [(0, len(w))]
+        while runs[-1][1] - runs[-1][0] > 6:  # the next run starts with the last word of the sixth
+            k = runs.pop()[0]
+            runs += [(k, k + 6), (k + 5, len(w))]
+        gaps = Counter(distance.gap(toxicity.tripled(b" " + b" ".join(w[a:b]) + b" ")) for a, b in runs)
+        assert distance.gaps(text) == (gaps, len(w))
+        assert {p for a, b in runs for p in zip(range(a, b), range(a + 1, b))} == set(zip(range(len(w)), range(1, len(w))))
+    assert distance.gaps(None) == distance.gaps(" .,") == (Counter(), 0)
+
+
+def test_toxicity_looks_into_long_words():
+    own = ["abc defg hij " * 20] * 30
+    distance = toxicity.Distance(*toxicity.train_dictionaries(own + ["zworst vuglyx " * 20] * 30, [0] * 30 + [1] * 30))
+    run = "é" * 80_000
+    plain, n = distance.gaps(run)
+    assert n == 2500 and plain.total() == 500  # pieces of 64 bytes, a window every five of them
+    marked, _ = distance.gaps(run + "zworst vuglyx".replace(" ", "é") + run)
+    assert max(marked) > max(plain)
+
+
 def test_toxicity_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in toxicity.toxicity(docs, none).collect()} == {0}

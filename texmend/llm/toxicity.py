@@ -1,12 +1,12 @@
 """Toxicity by compression distance.
 
 zstandard trains one dictionary on the toxic texts of a bounded labelled sample and one on the ordinary ones. A window is
-two neighbouring words of the running text; its gap is its compressed length with the ordinary dictionary less that with
-both, the toxic one on top. Lengths come in whole bytes and a window is short, so windows and dictionaries are
-written with three bytes a byte: what a match saves then stands out from a frame's own bytes. A window is measured where
-one of its words alone has a gap; words are measured once and remembered. Thresholds on gaps are calibrated on the
-ordinary rows, and the weights of the shares of windows beyond them on all labelled rows, each time on rows that
-the dictionaries did not see.
+some neighbouring words of the running text, and the next one starts with its last word: every word and every two
+neighbours of a text lie in a window, and every window is measured. Its gap is its compressed length with the ordinary
+dictionary less that with both; the ordinary one is on top, so that what it has is written alike by both. Lengths come in
+whole bytes and a window is short, so windows and dictionaries are written with three bytes a byte: what a match saves
+then stands out from a frame's own bytes. Thresholds on gaps are calibrated on the ordinary rows, and the weights of the
+shares of windows beyond them on all labelled rows, each time on rows that the dictionaries did not see.
 """
 
 from __future__ import annotations
@@ -26,14 +26,12 @@ from .text import LOWER, NOT_ALNUM, lean
 SAMPLE_ROWS = 2500
 #: Bytes of the two dictionaries; segment and substring lengths of their training.
 TOXIC_BYTES, ORDINARY_BYTES, SEGMENT, SUBSTRING = 4096, 32768, 12, 6
-#: A word's own gap from which the windows about it are measured.
-WORTH = 5
-#: Shares of ordinary texts' measured windows that lie below the thresholds.
+#: Words of a window; bytes of a word beyond which its next bytes count as a further word, so that dictionaries stay within reach.
+WINDOW, LONG = 6, 64
+#: Shares of ordinary texts' windows that lie below the thresholds.
 QUANTILES = (0.5, 0.8, 0.9, 0.95, 0.98, 0.99, 0.995, 0.999)
-#: Words that a worker remembers; its memory is emptied beyond that.
-CACHED = 200_000
 TABLE = bytes(32 if NOT_ALNUM[c] else int(LOWER[c]) for c in range(256))
-TRIPLED = [bytes((c, 3 * c + 37 & 255, 5 * c + 74 & 255)) for c in range(256)]
+TRIPLED = np.array([(c, 3 * c + 37 & 255, 5 * c + 74 & 255) for c in range(256)], np.uint8)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -41,7 +39,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def tripled(data: bytes) -> bytes:
-    return b"".join([TRIPLED[c] for c in data])
+    return TRIPLED[np.frombuffer(data, np.uint8)].tobytes()
 
 
 def train_dictionary(size: int, texts: list[str]) -> bytes:
@@ -66,41 +64,37 @@ class Distance:
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         self.raw = toxic, ordinary
-        self.toxic, self.ordinary = self._compressor(ordinary + toxic), self._compressor(ordinary)
-        self.cache: dict[bytes, int] = {}
+        self.toxic, self.ordinary = self._compressor(toxic + ordinary), self._compressor(ordinary)
 
     @staticmethod
     def _compressor(raw: bytes) -> zstandard.ZstdCompressor:
-        params = zstandard.ZstdCompressionParameters(min_match=6, strategy=zstandard.STRATEGY_BTULTRA, window_log=17, hash_log=14, chain_log=14, search_log=6, target_length=64, write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        # tables with room for every character of both dictionaries
+        params = zstandard.ZstdCompressionParameters(min_match=7, strategy=zstandard.STRATEGY_DFAST, window_log=17, hash_log=17, chain_log=17, target_length=1, write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
         trained = zstandard.ZstdCompressionDict(tripled(raw), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         trained.precompute_compress(compression_params=params)
         return zstandard.ZstdCompressor(dict_data=trained, compression_params=params)
 
     def gap(self, window: bytes) -> int:
-        window = tripled(window)
+        """The gap of a window in three bytes a byte."""
         return len(self.ordinary.compress(window)) - len(self.toxic.compress(window))
 
-    def word_gap(self, w: bytes) -> int:
-        found = self.cache.get(w)
-        if found is None:
-            if len(self.cache) >= CACHED:
-                self.cache.clear()
-            found = self.cache[w] = self.gap(b" " + w + b" ")
-        return found
-
     def gaps(self, text: str | None) -> tuple[Counter, int]:
-        """The measured windows' gaps, and the number of words."""
+        """The gaps of all windows, and the number of words."""
         words = words_of(text)
-        worth = [self.word_gap(w) >= WORTH for w in words]
-        out = Counter()
-        for k in range(max(1, len(words) - 1) if words else 0):
-            if any(worth[k : k + 2]):
-                out[self.gap(b" " + b" ".join(words[k : k + 2]) + b" ")] += 1
-        return out, len(words)
+        if not words:
+            return Counter(), 0
+        data = b" " + b" ".join(words) + b" "
+        at = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+        pieces = -((1 - np.diff(at)) // LONG)
+        n = int(pieces.sum())
+        at = np.append(np.repeat(at[:-1] - LONG * (np.cumsum(pieces) - pieces), pieces) + LONG * np.arange(n), at[-1])
+        data, first = tripled(data), np.arange(0, max(1, n - 1), WINDOW - 1)
+        starts, ends = 3 * at[first], 3 * at[np.minimum(first + WINDOW, n)] + 3
+        return Counter([self.gap(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]), n
 
 
 def thresholds(gaps: list[Counter]) -> list[int]:
-    """Gaps below which the QUANTILES of all measured windows lie, each once."""
+    """Gaps below which the QUANTILES of all windows lie, each once."""
     total = sum(gaps, Counter())
     if not total:
         return [1]
